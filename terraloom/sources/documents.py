@@ -40,17 +40,24 @@ def read_pages(spark: SparkSession, path: str, limit: int = 1000, schema: T.Stru
     """Records of landed pages in page order, up to the first empty or short page.
 
     A page is a file that holds a JSON array and whose path has the page's number or offset
-    where ``number`` says, by default as the last digits of its name.
-    The number of the stopping page is one small aggregate over page sizes, fetched when the
-    plan is built. Records keep the text form they were landed in.
+    where ``number`` says, by default as the last digits of its name. Numbers count from 0 or 1;
+    offsets are multiples of ``limit`` from 0. Spark does not list files without content, so a
+    missing number is an empty page. The last page is one small aggregate over page sizes,
+    fetched when the plan is built. Records keep the text form they were landed in.
     """
     record = schema or T.StructType([T.StructField(f.name, T.StringType()) for f in schemas.RENT.fields])
     name = F.regexp_extract(F.col("_metadata.file_path"), number, 1)
     pages = spark.read.text(path, wholetext=True).select(
         name.cast("long").alias("page"),
         F.coalesce(F.from_json("value", T.ArrayType(record)), F.array().cast(T.ArrayType(record))).alias("records"))
-    stop = pages.filter(F.size("records") < limit).agg(F.min("page")).first()[0]
-    kept = pages if stop is None else pages.filter(F.col("page") <= stop)
+    sizes = pages.select("page", F.size("records").alias("n"))
+    first, offsets = sizes.agg(F.min("page"), F.every(F.col("page") % limit == 0)).first()
+    step = limit if offsets else 1
+    begins = first is not None and first <= (0 if step > 1 else 1)
+    follows = sizes.select((F.col("page") - step).alias("page"), F.lit(True).alias("follows"))
+    stop = sizes.join(follows, "page", "left").filter(
+        (F.col("n") < limit) | F.col("follows").isNull()).agg(F.min("page")).first()[0] if begins else -1
+    kept = pages.filter(F.col("page") <= stop)
     return kept.select("page", F.posexplode("records").alias("position", "r")).select(
         "page", "position", "r.*")
 
