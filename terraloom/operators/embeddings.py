@@ -21,6 +21,7 @@ from terraloom.session import cut_lineage
 
 TRIPLE = ["s", "p", "o"]
 _BROADCAST_BYTES = 64 * 1024 * 1024
+_UNIT_MODELS = ("TransE", "TransH", "TransR")  # entity vectors are kept at length one
 
 
 # --- indexing and splitting -------------------------------------------------------------------
@@ -129,13 +130,14 @@ def init_parameters(entities: DataFrame, relations: DataFrame, model: str, dim:
     """Starting vectors as ``kind, id, label, vec`` (kinds: e, r and, where used, x)."""
     size = scoring.widths(model, dim)
     bound = 6 / math.sqrt(dim)
-    parts = [entities.select(F.lit("e").alias("kind"), "id", "label",
-                             _random_vector(F.col("label"), size.entity, seed, bound).alias("vec")),
-             relations.select(F.lit("r").alias("kind"), "id", "label",
-                              _random_vector(F.col("label"), size.relation, seed + 1, bound).alias("vec"))]
+    vector = lambda n, s: _random_vector(F.col("label"), n, s, bound)
+    # The translation models start from unit vectors, as their distances compare them.
+    start = (lambda n, s: _normalised(vector(n, s))) if model in _UNIT_MODELS else vector
+    parts = [entities.select(F.lit("e").alias("kind"), "id", "label", start(size.entity, seed).alias("vec")),
+             relations.select(F.lit("r").alias("kind"), "id", "label", start(size.relation, seed + 1).alias("vec"))]
     if model == "TransH":
         parts.append(relations.select(F.lit("x").alias("kind"), "id", "label",
-                                      _normalised(_random_vector(F.col("label"), size.extra, seed + 2, bound)).alias("vec")))
+                                      _normalised(vector(size.extra, seed + 2)).alias("vec")))
     if model == "TransR":
         unit = F.transform(F.sequence(F.lit(0), F.lit(size.extra - 1)),
                            lambda j: F.when(j % (dim + 1) == 0, 1.0).otherwise(0.0))
@@ -270,7 +272,7 @@ def train_epoch(params: DataFrame, triples: DataFrame, model: str, dim: int, epo
             "kind", "id", "label",
             F.when(F.col("step").isNull(), F.col("vec")).otherwise(
                 F.zip_with("vec", "step", lambda v, s: v - s)).alias("vec"))
-        if model in ("TransE", "TransH", "TransR"):
+        if model in _UNIT_MODELS:
             kinds = ("e", "x") if model == "TransH" else ("e",)
             moved = moved.withColumn("vec", F.when(F.col("kind").isin(*kinds), _normalised(F.col("vec"))).otherwise(F.col("vec")))
         params = cut_lineage(moved)

@@ -11,6 +11,7 @@ from terraloom.operators import triples as G
 from terraloom.operators.aggregate import graph_counts
 from terraloom.plans.annual import annual_data, municipal_annual, municipal_annual_v1
 from terraloom.plans.graph import build_graph
+from terraloom.session import materialise
 
 NS = vocab.NS
 
@@ -39,7 +40,7 @@ def graph(spark, inputs):
     provinces = spark.createDataFrame([("Alt Camp", "Tarragona"), ("Osona", "Barcelona"), ("Unknown", None)], "comarca_name string, province_name string")
     near = spark.createDataFrame([("08019", "08101"), ("08101", "08019"), ("08019", "99999"), ("08019", "08101")], "id string, neighbor_id string")
     adjacent = spark.createDataFrame([("Alt Camp", "Osona"), ("Osona", "Alt Camp")], "parent string, neighbor string")
-    return build_graph(indicators, annual_data(rent, income), provinces, near, adjacent).cache()
+    return materialise(build_graph(indicators, annual_data(rent, income), provinces, near, adjacent), "graph", ["p"])
 
 
 def statements(graph, p):
