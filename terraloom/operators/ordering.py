@@ -55,24 +55,26 @@ def _chunked(df: DataFrame, keys: Sequence[str], order: str, reach: int, hot_row
     A key with at most ``hot_rows`` rows is one chunk. A larger key is cut into chunks by
     ``order`` (a calendar year: few values) and by ranges of the tie-breaking row hash, and
     every chunk receives the last rows of the chunks before it, so that windows of a bounded
-    size give the same lags as one window over the whole key.
+    size give the same lags as one window over the whole key. Whether there is such a key is
+    asked when the plan is built; usually there is none and one window suffices.
     """
     everything = [F.col(f"`{c}`") for c in df.columns]
     base = df.withColumn("_hash", F.xxhash64(*everything))
     complete = F.lit(True)
     for k in keys:
         complete = complete & F.col(k).isNotNull()
-    if hot_rows is None:
-        window = Window.partitionBy(*keys).orderBy(F.col(order).asc_nulls_last(), "_hash")
-        return base.withColumns({"_bucket": F.lit(0), "_at": F.lit(0), "_ghost": F.lit(False)}), window
+    sizes = None if hot_rows is None else (
+        df.filter(complete).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows))
+    if sizes is None or sizes.isEmpty():
+        # Rows without a key take no part in any lag: their hash only spreads them out.
+        spread = base.withColumns({"_bucket": F.when(~complete, F.pmod("_hash", F.lit(4096))).otherwise(F.lit(0)),
+                                   "_at": F.lit(0), "_ghost": F.lit(False)})
+        return spread, Window.partitionBy(*keys, "_bucket").orderBy(F.col(order).asc_nulls_last(), "_hash")
 
-    sizes = (df.filter(complete).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-             .filter(F.col("_n") > hot_rows))
     ranges = F.pow(F.lit(2.0), F.ceil(F.log2(F.col("_n") / F.lit(hot_rows))))
     hot = F.col("_n").isNotNull()
     tagged = base.join(sizes, list(keys), "left").select(
         *everything, "_hash",
-        # Rows without a key take no part in any lag: their hash only spreads them out.
         F.when(~complete, F.pmod("_hash", F.lit(4096)))
         .when(hot, F.floor(F.col("_hash") / (F.lit(2.0**64) / ranges)))
         .otherwise(F.lit(0)).cast("long").alias("_bucket"),

@@ -6,17 +6,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terraloom.session import cut_lineage
 
-def _boxes(polys: DataFrame, key: str, tol: float) -> DataFrame:
+
+def _boxes(polys: DataFrame, key: str, tol: float, *extra: Column) -> DataFrame:
     points = F.flatten("rings")
     xs, ys = F.transform(points, lambda p: p["x"]), F.transform(points, lambda p: p["y"])
     half = F.lit(tol / 2)
     box = polys.select(
         F.col(key).alias("id"), (F.array_min(xs) - half).alias("x0"), (F.array_max(xs) + half).alias("x1"),
-        (F.array_min(ys) - half).alias("y0"), (F.array_max(ys) + half).alias("y1"))
+        (F.array_min(ys) - half).alias("y0"), (F.array_max(ys) + half).alias("y1"), *extra)
     side = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"), F.lit(1e-9))
     return box.filter(F.col("x0").isNotNull()).withColumn("level", F.ceil(F.log2(side)).cast("int"))
 
@@ -39,7 +41,10 @@ def candidate_pairs(polys: DataFrame, key: str, tol: float = 1.0) -> DataFrame:
     cells is reported only in the cell of the lower corner of the boxes' overlap, which needs
     no distinct. The levels that occur are a few dozen numbers, fetched when the plan is built.
     """
-    boxes = _boxes(polys, key, tol)
+    return _pairs_of_boxes(_boxes(polys, key, tol))
+
+
+def _pairs_of_boxes(boxes: DataFrame) -> DataFrame:
     levels = sorted(r[0] for r in boxes.select("level").distinct().collect())
     if not levels:
         levels = [0]
@@ -58,88 +63,108 @@ def candidate_pairs(polys: DataFrame, key: str, tol: float = 1.0) -> DataFrame:
             .select(F.col("id").alias("a"), F.col("b_id").alias("b")))
 
 
-# --- exact distance of two polygons given as lists of rings -----------------------------------
-
-_BLOCK = 512  # edges compared at a time, which bounds the memory of one pair
-
-
-def _edges(rings) -> np.ndarray:
-    """Rows x1, y1, x2, y2 of all ring edges, closing each ring."""
-    out = []
-    for ring in rings:
-        pts = np.array([(p["x"], p["y"]) for p in ring], dtype=float)
-        nxt = np.roll(pts, -1, axis=0)
-        out.append(np.hstack([pts, nxt]))
-    return np.vstack(out)
-
-
-def _inside(x: float, y: float, edges: np.ndarray) -> bool:
-    """Even-odd rule for one point."""
-    x1, y1, x2, y2 = edges.T
-    crosses = (y1 > y) != (y2 > y)
-    rise = np.where(crosses, y2 - y1, 1.0)
-    return bool(np.count_nonzero(crosses & (x < x1 + (y - y1) * (x2 - x1) / rise)) % 2)
-
-
-def _point_gap(px, py, e) -> np.ndarray:
-    """Squared distances of points (rows) to segments (columns)."""
-    x1, y1, x2, y2 = (e[:, i][None, :] for i in range(4))
-    dx, dy = x2 - x1, y2 - y1
-    length = dx * dx + dy * dy
-    t = ((px[:, None] - x1) * dx + (py[:, None] - y1) * dy) / np.where(length > 0, length, 1.0)
-    t = np.clip(t, 0.0, 1.0)
-    return (px[:, None] - x1 - t * dx) ** 2 + (py[:, None] - y1 - t * dy) ** 2
-
-
-def _cross(a, b) -> bool:
-    """Whether some edge of ``a`` properly crosses some edge of ``b``."""
-    ax1, ay1, ax2, ay2 = (a[:, i][:, None] for i in range(4))
-    bx1, by1, bx2, by2 = (b[:, i][None, :] for i in range(4))
-    side = lambda ox, oy, px, py, qx, qy: (px - ox) * (qy - oy) - (py - oy) * (qx - ox)
-    d1, d2 = side(ax1, ay1, ax2, ay2, bx1, by1), side(ax1, ay1, ax2, ay2, bx2, by2)
-    d3, d4 = side(bx1, by1, bx2, by2, ax1, ay1), side(bx1, by1, bx2, by2, ax2, ay2)
-    return bool(np.any((d1 * d2 < 0) & (d3 * d4 < 0)))
-
-
-def within(ra, rb, tol: float) -> bool:
-    """Whether two polygons, given by their rings, are at most ``tol`` apart."""
-    a, b = _edges(ra), _edges(rb)
-    # Without crossing edges a ring lies inside the other polygon whole or not at all.
-    if (any(_inside(r[0]["x"], r[0]["y"], b) for r in ra)
-            or any(_inside(r[0]["x"], r[0]["y"], a) for r in rb)):
-        return True
-    limit = tol * tol
-    for i in range(0, len(a), _BLOCK):
-        part = a[i:i + _BLOCK]
-        for j in range(0, len(b), _BLOCK):
-            other = b[j:j + _BLOCK]
-            if (_point_gap(part[:, 0], part[:, 1], other).min() <= limit
-                    or _point_gap(other[:, 0], other[:, 1], part).min() <= limit
-                    or _cross(part, other)):
-                return True
-    return False
+# --- exact distance test, vectorised over the pairs of a batch ---------------------------------
+
+_COMBINATIONS = 1_000_000  # edge-to-edge comparisons held in memory at a time
+
+
+def _edge_columns(rings: str) -> tuple[Column, Column]:
+    """Ring edges as one flat array x1, y1, x2, y2, ... and the first point of each ring."""
+    closing = lambda r: F.concat(F.slice(r, 2, F.size(r)), F.slice(r, 1, 1))
+    edges = F.transform(rings, lambda r: F.flatten(F.zip_with(
+        r, closing(r), lambda p, q: F.array(p["x"], p["y"], q["x"], q["y"]))))
+    starts = F.transform(rings, lambda r: F.array(F.get(r, F.lit(0))["x"], F.get(r, F.lit(0))["y"]))
+    return F.flatten(edges), F.flatten(starts)
+
+
+def _combine(n: np.ndarray, m: np.ndarray):
+    """All combinations of each pair's n left and m right items, a slice at a time, as indexes of
+    the pair and of both items in the concatenated arrays."""
+    ends = np.cumsum(n * m)
+    begins, left, right = ends - n * m, np.cumsum(n) - n, np.cumsum(m) - m
+    for start in range(0, int(ends[-1]) if len(ends) else 0, _COMBINATIONS):
+        c = np.arange(start, min(int(ends[-1]), start + _COMBINATIONS))
+        k = np.searchsorted(ends, c, side="right")
+        at = c - begins[k]
+        yield k, left[k] + at // m[k], right[k] + at % m[k]
+
+
+def _gap(p: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Squared distance of each point to the segment in the same row."""
+    d = e[:, 2:] - e[:, :2]
+    v = p - e[:, :2]
+    length = (d * d).sum(axis=1)
+    t = np.clip((v * d).sum(axis=1) / np.where(length > 0, length, 1.0), 0.0, 1.0)
+    return ((v - t[:, None] * d) ** 2).sum(axis=1)
+
+
+def _side(o, p, q):
+    return (p[:, 0] - o[:, 0]) * (q[:, 1] - o[:, 1]) - (p[:, 1] - o[:, 1]) * (q[:, 0] - o[:, 0])
+
+
+def _touching(ea, na, eb, nb, tol: float) -> np.ndarray:
+    """Pairs of which two edges cross or come within the tolerance."""
+    hit = np.zeros(len(na), dtype=bool)
+    for k, i, j in _combine(na, nb):
+        a, b = ea[i], eb[j]
+        a1, a2, b1, b2 = a[:, :2], a[:, 2:], b[:, :2], b[:, 2:]
+        near = (_gap(a1, b) <= tol * tol) | (_gap(b1, a) <= tol * tol)
+        near |= (_side(a1, a2, b1) * _side(a1, a2, b2) < 0) & (_side(b1, b2, a1) * _side(b1, b2, a2) < 0)
+        hit[k[near]] = True
+    return hit
+
+
+def _containing(points, counts, edges, n) -> np.ndarray:
+    """Pairs of which a point lies inside the edges, by the even-odd rule."""
+    crossings = np.zeros(len(points), dtype=np.int64)
+    for _, i, j in _combine(counts, n):
+        (px, py), (x1, y1, x2, y2) = points[i].T, edges[j].T
+        spans = (y1 > py) != (y2 > py)
+        left = spans & (px < x1 + (py - y1) * (x2 - x1) / np.where(spans, y2 - y1, 1.0))
+        crossings += np.bincount(i[left], minlength=len(points))
+    owner = np.repeat(np.arange(len(counts)), counts)
+    hit = np.zeros(len(counts), dtype=bool)
+    hit[owner[crossings % 2 == 1]] = True
+    return hit
+
+
+def _ragged(column: pd.Series, width: int) -> tuple[np.ndarray, np.ndarray]:
+    rows = [np.asarray(v, dtype=float) for v in column]
+    return np.concatenate(rows).reshape(-1, width), np.array([len(r) // width for r in rows])
+
+
+def within(pdf: pd.DataFrame, tol: float) -> np.ndarray:
+    """Which pairs of polygons, given by edges and ring starts, are at most ``tol`` apart.
+
+    Without crossing edges a ring lies inside the other polygon whole or not at all, so one
+    point of each ring decides.
+    """
+    (ea, na), (eb, nb) = _ragged(pdf["ea"], 4), _ragged(pdf["eb"], 4)
+    (sa, ka), (sb, kb) = _ragged(pdf["sa"], 2), _ragged(pdf["sb"], 2)
+    return _touching(ea, na, eb, nb, tol) | _containing(sa, ka, eb, nb) | _containing(sb, kb, ea, na)
 
 
 def _near(tol: float):
     def test(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            keep = [within(ra, rb, tol) for ra, rb in zip(pdf["ra"], pdf["rb"])]
-            yield pdf.loc[np.array(keep, dtype=bool), ["a", "b"]]
+            if len(pdf):
+                yield pdf.loc[within(pdf, tol), ["a", "b"]]
     return test
 
 
 def spatial_neighbors(polys: DataFrame, key: str = "id", tol: float = 1.0) -> DataFrame:
     """Ordered pairs ``id, neighbor_id`` of different polygons at most ``tol`` apart.
 
-    ``polys`` has one row per id with ``rings``. Geometries join only the candidate pairs, so
-    they are not copied per grid cell.
+    ``polys`` has one row per id with ``rings``. Boxes and edges are computed and materialised
+    once, as five scans use them. Geometries join only the candidate pairs, so they are not
+    copied per grid cell.
     """
     kind = polys.schema[key].dataType.simpleString()
-    shapes = polys.select(F.col(key).alias("_id"), "rings").filter(F.size("rings") > 0)
-    pairs = candidate_pairs(polys, key, tol)
-    left = shapes.select(F.col("_id").alias("a"), F.col("rings").alias("ra"))
-    right = shapes.select(F.col("_id").alias("b"), F.col("rings").alias("rb"))
-    near = pairs.join(left, "a").join(right, "b").select("a", "b", "ra", "rb").mapInPandas(
+    edges, starts = _edge_columns("rings")
+    shapes = cut_lineage(_boxes(polys.filter(F.size("rings") > 0), key, tol, edges.alias("e"), starts.alias("s")))
+    side = lambda n: shapes.select(F.col("id").alias(n), F.col("e").alias(f"e{n}"), F.col("s").alias(f"s{n}"))
+    pairs = _pairs_of_boxes(shapes.drop("e", "s"))
+    near = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ea", "sa", "eb", "sb").mapInPandas(
         _near(tol), f"a {kind}, b {kind}")
     both = F.array(F.struct(F.col("a").alias("id"), F.col("b").alias("neighbor_id")),
                    F.struct(F.col("b").alias("id"), F.col("a").alias("neighbor_id")))

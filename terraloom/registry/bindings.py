@@ -11,7 +11,7 @@ from terraloom.operators.spatial import spatial_neighbors
 from terraloom.plans.annual import annual_data
 from terraloom.plans.graph import build_graph
 from terraloom.registry.base import round6
-from terraloom.session import materialise
+from terraloom.session import cut_lineage, materialise
 from terraloom.sources.polygons import parse_polygons
 
 # Event type -> indicator name; rules for three of the types.
@@ -113,7 +113,7 @@ def grid_edges(spark: SparkSession, sf: str) -> DataFrame:
 
 def graph(spark: SparkSession, sf: str) -> DataFrame:
     """The knowledge graph of the given tables, not materialised."""
-    edges = grid_edges(spark, sf)
+    edges = cut_lineage(grid_edges(spark, sf))  # used twice
     return build_graph(
         indicator_long(spark, sf), annual_data(rent_long(spark, sf), income(spark, sf)),
         provinces(spark, sf), edges, derive_parent_edges(edges, places(spark, sf).select("id", "parent")),
