@@ -21,22 +21,28 @@ def representative(c: str) -> Column:
 
 def weighted_mean(df: DataFrame, keys: Sequence[str], value: str, weight: str, *,
                   mean: str, total: str, null_as_zero: bool = False,
-                  extra: Mapping[str, Column] | None = None) -> DataFrame:
-    """Weight total and weighted mean per key.
+                  names: Mapping[str, str] | None = None) -> DataFrame:
+    """Weight total and weighted mean per key, with representatives of the ``names`` columns.
 
     A null value counts in the weights only. When all of a group's values are null the mean
-    is null, or 0 with ``null_as_zero``, which also requires a positive weight total.
+    is null, or 0 with ``null_as_zero``, which also requires a positive weight total. Sums are
+    taken per key and name first: an aggregate with text in its state would sort all input rows,
+    while this one hashes them and sorts a row per key and name.
     """
+    names = dict(names or {})
     product = F.col(value) * F.col(weight)
     if null_as_zero:
         product = F.when(F.col(value).isNotNull(), product).otherwise(F.lit(0.0))
-    weights = F.sum(weight)
-    ratio = F.try_divide(F.sum(product), weights)
+    sums = df.groupBy(*keys, *[F.col(c).alias(f"_{n}") for n, c in names.items()]).agg(
+        F.sum(weight).alias(total), F.sum(product).alias("_product"))
+    if names:
+        sums = sums.groupBy(*keys).agg(
+            *[representative(f"_{n}").alias(n) for n in names],
+            F.sum(total).alias(total), F.sum("_product").alias("_product"))
+    ratio = F.try_divide(F.col("_product"), F.col(total))
     if null_as_zero:
-        ratio = F.when(weights > 0, ratio)
-    return df.groupBy(*keys).agg(
-        *[c.alias(n) for n, c in (extra or {}).items()],
-        weights.alias(total), ratio.alias(mean))
+        ratio = F.when(F.col(total) > 0, ratio)
+    return sums.withColumn(mean, ratio).drop("_product")
 
 
 def pivot_values(df: DataFrame, keys: Sequence[str], col: str, value: str,

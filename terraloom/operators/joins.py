@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terraloom.session import materialise
+
 
 def rows_for_keys(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     """Full rows whose key occurs in ``keys``."""
@@ -19,10 +21,12 @@ def outer_on(left: DataFrame, right: DataFrame, on: Sequence[str], many: str | N
     ``many="right"`` says that ``left`` has one row per key while a key of ``right`` may have
     very many. The join then runs as a left join from ``right``, whose hot keys adaptive
     execution can split (it cannot in a full outer join), plus the keys found in ``left`` only.
+    Both use ``left``, which is therefore written once instead of being computed twice.
     """
     on = list(on)
     if many is None:
         return left.join(right, on, "full_outer")
+    left = materialise(left, "outer")
     lcols = [c for c in left.columns if c not in on]
     rcols = [c for c in right.columns if c not in on]
     matched = right.join(left, on, "left").select(*on, *lcols, *rcols)

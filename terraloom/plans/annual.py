@@ -29,9 +29,9 @@ def _municipal_rent(rent: DataFrame) -> DataFrame:
 
 def annual_rent(rent: DataFrame, with_name: bool = True) -> DataFrame:
     """Contracts and contract-weighted mean rent per municipality and year."""
-    extra = {"municipality_name": representative("nom_territori")} if with_name else None
+    names = {"municipality_name": "nom_territori"} if with_name else None
     return weighted_mean(_municipal_rent(rent), ["municipality_id", "any"], "renda_imputed", "habitatges",
-                         mean="avg_monthly_rent", total="total_contracts", extra=extra)
+                         mean="avg_monthly_rent", total="total_contracts", names=names)
 
 
 def latest_indicators(indicators: DataFrame, names: Mapping[str, str] = vocab.INDICATOR_NAMES,
@@ -68,7 +68,7 @@ def municipal_annual_v1(rent: DataFrame, income: DataFrame, indicators: DataFram
     rents = weighted_mean(
         _municipal_rent(rent), ["municipality_id", "any"], "renda_imputed", "habitatges",
         mean="avg_monthly_rent_eur", total="total_annual_contracts", null_as_zero=True,
-        extra={"municipality_name": representative("nom_territori")})
+        names={"municipality_name": "nom_territori"})
     salary = income.filter(F.col("indicator_code") == "PER_CAPITA_EUR").select(
         "municipality_id", "municipality_name", F.col("year").try_cast("int").alias("any"),
         F.col("value").alias("salary_per_capita_eur"))
