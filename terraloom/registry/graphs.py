@@ -17,7 +17,7 @@ from terraloom.operators import triples as G
 from terraloom.plans.annual import annual_data
 from terraloom.registry import bindings as B
 from terraloom.registry.base import query, round6
-from terraloom.registry.bindings import LABEL, NS, TYPE, XSD, comparable, sql, table
+from terraloom.registry.bindings import LABEL, NS, TYPE, comparable, sql, table
 from terraloom.registry.tables import municipal, rounded
 from terraloom.session import cut_lineage, shared_path
 from terraloom.sources import graphs
