@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraloom.llm import exact, langid, packing, quality, simhash
+from terraloom.llm import ann, bytebpe, exact, langid, lines, packing, pages, quality, repair, simhash
 from terraloom.llm.common import crc_bucket, quoted
+from terraloom.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -54,6 +55,34 @@ def op4(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op5_repair_token_files")
+def op5(spark, sf_dir):
+    out = shared_path(spark, "token-files")
+    repair.write_token_files(table(spark, sf_dir, "documents"), out)
+    return repair.read_token_files(spark, out).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op6_fuzzy_lines")
+def op6(spark, sf_dir):
+    return lines.line_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op7_projection_forest")
+def op7(spark, sf_dir):
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op8_html_main_text")
+def op8(spark, sf_dir):
+    return pages.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op9_byte_bpe")
+def op9(spark, sf_dir):
+    return bytebpe.encode(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query("op10_language_id")
 def op10(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
