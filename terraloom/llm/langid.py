@@ -80,7 +80,7 @@ def _hashed(texts: list[str], letter: np.ndarray, starts_below: int | None = Non
         m = len(c) - n + 1
         if m <= 0:
             continue
-        ok = is_letter[0:m] | is_letter[n - 1:]
+        ok = is_letter[:m] | is_letter[1:] if n == 2 else np.ones(m, bool)
         h = np.full(m, n, np.uint32)
         for k in range(n):
             h = (h ^ c[k:k + m]) * _MULTIPLIER

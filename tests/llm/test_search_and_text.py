@@ -1,0 +1,165 @@
+"""Nearest neighbours, page text, fuzzy lines."""
+
+import random
+
+import numpy as np
+import pytest
+import regex
+import xxhash
+from llm.helpers import EDGES, documents, prose
+from llm.test_copies import classes
+from pyspark.sql import functions as F
+
+from terraloom.llm import ann, lines, pages
+
+
+def brute(rows, asks, k):
+    real = {}
+    for i, v in rows:
+        if i is not None and v and len(v) == 8 and all(x is not None and np.isfinite(x) for x in v) and any(v):
+            real.setdefault((i, tuple(np.float32(v).astype(float))), None)
+    out = {}
+    for i, v in real:
+        if asks(i):
+            near = sorted((-float(np.dot(v, w)), j) for j, w in real if j != i)
+            out[i] = near[:k]
+    return out
+
+
+def run(spark, rows, k=20, **kw):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumns({c: F.lit(1) for c in ("id", "v", "node", "query", "leaf")})
+    got = {}
+    for r in ann.search(df, F.col("vec_id") % 20 == 0, k, **kw).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    return {q: sorted(x) for q, x in got.items()}
+
+
+def test_search_over_all_leaves_is_exact_with_ties_and_odd_vectors(spark):
+    rng = np.random.default_rng(0)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(600)]
+    rows += [(1000 + i, [1.0] * 8) for i in range(300)]  # one vector very often
+    rows += [(2000, None), (2020, [0.0] * 8), (2040, [float("nan")] + [1.0] * 7), (2060, [None] + [1.0] * 7), (2080, [1.0] * 3), (None, [2.0] * 8), (20, rows[20][1])]
+    got, want = run(spark, rows, leaf=32, probes=10 ** 6, block=50), brute(rows, lambda i: i % 20 == 0, 20)
+    assert got.keys() == want.keys()
+    for q, near in want.items():
+        assert [r for r, _, _ in got[q]] == list(range(1, 21))
+        assert np.allclose([s for _, _, s in got[q]], [-d for d, _ in near], atol=1e-12)
+        assert [i for _, i, _ in got[q]] == [i for _, i in near]
+
+
+def test_search_recall_through_the_shared_queue(spark):
+    rng = np.random.default_rng(1)
+    centers = rng.normal(size=(40, 8))
+    rows = [(i, (centers[i % 40] + 0.3 * rng.normal(size=8)).tolist()) for i in range(4000)]
+    got, want = run(spark, rows, leaf=64, probes=80), brute(rows, lambda i: i % 20 == 0, 20)
+    assert np.mean([len({i for _, i, _ in got[q]} & {i for _, i in want[q]}) / 20 for q in want]) >= 0.9
+
+
+def test_search_with_few_rows(spark):
+    assert {q: [i for _, i, _ in x] for q, x in run(spark, [(0, [1.0, 0.0]), (1, [0.5, 1.0]), (2, [1.0, 1.0])]).items()} == {0: [2, 1]}
+    assert run(spark, [(0, [1.0, 0.0])]) == {} and run(spark, []) == {}
+
+
+def test_queue_yields_leaves_by_how_far_they_lie_on_the_wrong_side():
+    rng = np.random.default_rng(2)
+    forest = ann.fit_forest(rng.normal(size=(500, 6)), 3, 40)
+    q = rng.normal(size=6)
+    own = ann.route(q[None, :], forest)[0]
+    order = ann.nearest_leaves(q, forest, 10 ** 6)
+    assert sorted(order) == list(range(forest.leaves)) and set(order[:3]) == set(own.tolist())
+
+
+PAGES = [
+    ("<html><body><nav><a href=x>Home</a></nav><div class='ad'>Buy now, very cheap things for all</div><article><h1>Title</h1>"
+     "<p>First &amp; last<br>line.</p><p>Short.</p></article><footer>Foot</footer></body></html>", "Title\nFirst & last line.\nShort."),
+    ("<div id=page><header><h1>Site</h1></header><div class=content><h2>Head</h2><p>para one is long enough</p><p>para two too</p></div>"
+     "<aside>side</aside><form><p>field</p></form><section id='comments'><article class=comment><p>" + "long comment " * 60 + "</p></article></section></div>",
+     "Head\npara one is long enough\npara two too"),
+    ("<article><p><b>One.<br><p>Two.</p><script>var a='</p>';</script><p>Three &#233;&nbsp;&eacute;</article><footer>&copy; cut of", "One.\nTwo.\nThree é é"),
+    ("<body>bare <i>text</i> only</body>", "bare text only"), ("<table><tr><td>a<td>b<tr><td>c</table>", "a\nb\nc"), ("plain", "plain"), ("a < b", "a < b"),
+    ("", ""), (None, ""), ("<script>only()", ""), ("<div>" * 3000 + "deep", "deep"), ("<p class=\"x>text</p><p>more</p>", "text\nmore"),
+    ("<div role=navigation><a>x</a></div><main><div class=\"cookie-notice\">We use cookies</div><p>Body   of\n\ttext</p></main>", "Body of text"),
+]
+
+
+def test_main_text_of_pages(spark):
+    rows = [(i, f"u{i}", h) for i, (h, _) in enumerate(PAGES)] + [(None, None, "x"), (0, "u0", PAGES[0][0])]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))
+    got = pages.extract(df).collect()
+    assert sorted((r.page_id, r.text) for r in got if r.page_id is not None) == sorted([(i, t) for i, (_, t) in enumerate(PAGES)] + [(0, PAGES[0][1])])
+    assert [(r.url, r.text) for r in got if r.page_id is None] == [(None, "x")]
+    assert pages.extract(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_random_markup_never_fails_and_is_read_whole(seed):
+    rng = random.Random(seed)
+    tags = "p div b a ul li table tr td h1 article br span section em".split()
+    html = "".join(rng.choice([f"<{rng.choice(tags)}>", f"</{rng.choice(tags)}>", f" word{k} ", "&lt;", "<"]) for k in range(3000))
+    assert isinstance(pages.main_text(html), str)
+    body = "".join(f"<p>word{k}</p>" for k in range(20_000))
+    assert pages.main_text(f"<article>{body}</article>").count("\n") == 19_999
+
+
+def plain_groups(rows):
+    forms = [(i, n, regex.sub(r"[^\p{L}\p{N}]+", " ", line.lower()).strip()) for i, t in rows for n, line in enumerate((t or "").split("\n"))]
+    names = sorted({f for _, _, f in forms if f})
+
+    def sim(s):
+        hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in s.split(" ")]
+        return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+    sims = [sim(s) for s in names]
+    links = [(i, j) for i in range(len(names)) for j in range(i + 1, len(names)) if (sims[i] ^ sims[j]).bit_count() <= 3
+             and distance(names[i], names[j]) * 5 <= max(len(names[i]), len(names[j]))]
+    root = classes(range(len(names)), links)
+    group = {s: root[k] for k, s in enumerate(names)}
+    first, size = {}, {}
+    for i, n, f in sorted(forms, key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+        if f:
+            first.setdefault(group[f], (i, n))
+            size[group[f]] = size.get(group[f], 0) + 1
+    return links, {(i, n): ((*first[group[f]], size[group[f]]) if f else (i, n, 1)) for i, n, f in forms}
+
+
+def test_line_groups_match_brute_force(spark):
+    rng = random.Random(6)
+    base = [prose(k, 40) for k in range(6)]
+    rows = [(1, None), (2, ""), (3, "\n \n...\n"), (None, "Only line, no id."), (4, "x\n" * 50 + base[0]), (5, prose(9, 300))]
+    for i in range(60):
+        words = rng.choice(base).split()
+        if i % 2:
+            words[rng.randrange(len(words))] = "changed" + str(i % 5)
+        rows.append((100 + i, "\n".join([" ".join(words), rng.choice(base).upper() + " !!", prose(1000 + i, 12), f"Page {i % 7}"])))
+    links, want = plain_groups(rows)
+    assert links
+    df = documents(spark, rows)
+    got = lines.line_groups(df)
+    found = {(r.doc_id, r.line): (r.keep_doc_id, r.keep_line, r.group_lines) for r in got.collect()}
+    assert found == want
+    assert all(r.kept == ((r.keep_doc_id, r.keep_line) == (r.doc_id, r.line)) for r in got.collect())
+    clean = {r.doc_id: r.text for r in lines.drop_repeated_lines(df, got).collect()}
+    for i, t in rows:
+        assert clean[i] == "\n".join(x for n, x in enumerate((t or "").split("\n")) if want[(i, n)][:2] == (i, n))
+
+
+def test_simhash_of_lines_of_every_length(spark):
+    texts = [prose(n, n).lower() for n in (1, 2, 3, 254, 255, 256, 257, 40_000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", lines.simhash(F.split("t", " ")).alias("s"))
+    for r in df.collect():
+        hashes = np.array([xxhash.xxh64_intdigest(w.encode(), 42) for w in r.t.split(" ")], np.uint64)
+        ones = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        assert r.s == int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)[0])
+
+
+def test_lines_of_edges(spark):
+    got = lines.line_groups(documents(spark, EDGES)).collect()
+    assert len(got) == sum(len((t or "").split("\n")) for _, t in EDGES)
+    assert lines.line_groups(documents(spark, [])).collect() == []
