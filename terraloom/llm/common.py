@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -62,3 +64,14 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[t
 def crc_bucket(id_column: Column, n: int) -> Column:
     """crc32 of the id's text, modulo ``n``; null ids give null."""
     return F.crc32(id_column.cast("string").cast("binary")) % n
+
+
+def kept_in_worker(key, make: Callable):
+    """An object that a Python worker makes once and keeps between its tasks, such as a cache.
+
+    Functions travel by value, so module variables would start afresh with every task.
+    """
+    home = sys.modules.setdefault("_terraloom_worker", types.ModuleType("_terraloom_worker")).__dict__
+    if key not in home:
+        home[key] = make()
+    return home[key]

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terraloom.llm.common import keyed, map_arrow
-from terraloom.llm.tokens import WordIds, word_vocabulary
+from terraloom.llm.tokens import word_ids, word_vocabulary
 
 _OPEN = 8192  # open windows, beyond which a task fills them up early
 _TASK_BITS = 40  # sequence numbers of a task
@@ -120,7 +120,7 @@ def pack(docs: DataFrame, path: str | None = None, id_column: str = "doc_id", te
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        words, levels = WordIds(path), LevelArray(window)
+        words, levels = word_ids(path), LevelArray(window)
         number = (TaskContext.get().partitionId() << _TASK_BITS) - 1
 
         def numbered(sequences):
@@ -133,7 +133,7 @@ def pack(docs: DataFrame, path: str | None = None, id_column: str = "doc_id", te
                     offset += len(ids) // 4
 
         for batch in batches:
-            for doc, ids in zip(batch.column(0).to_pylist(), words.encode(batch.column(1).to_pylist())):
+            for doc, ids in zip(batch.column(0).to_pylist(), map(words.encode, batch.column(1).to_pylist())):
                 rest = (doc, len(ids) // 4 + 1, 0, ids + end)
                 while rest and len(rest[3]) >= 4 * window:
                     piece, rest = cut(rest, window)

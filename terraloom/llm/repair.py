@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from terraloom.llm.common import keyed, map_arrow
-from terraloom.llm.tokens import WordIds, word_vocabulary
+from terraloom.llm.tokens import word_ids, word_vocabulary
 
 SHARD = 1 << 20
 ROUNDS = 5
@@ -151,7 +151,7 @@ def write_token_files(docs: DataFrame, out: str, path: str | None = None, id_col
     ordered = rows.repartitionByRange("doc_id", "mark").sortWithinPartitions("doc_id", "mark").select("doc_id", "text")
 
     def run(batches):
-        words = WordIds(path)
+        words = word_ids(path)
         size = words.tokenizer.get_vocab_size()
         part, shard, before = TaskContext.get().partitionId(), 0, 0
         ids, parts, held = [], [], 0
@@ -171,7 +171,7 @@ def write_token_files(docs: DataFrame, out: str, path: str | None = None, id_col
                     g.symbols.astype(f"<u{width}").tobytes(), width)
 
         for batch in batches:
-            for i, encoded in zip(batch.column(0).to_pylist(), words.encode(batch.column(1).to_pylist())):
+            for i, encoded in zip(batch.column(0).to_pylist(), map(words.encode, batch.column(1).to_pylist())):
                 ids.append(i)
                 parts.append(encoded + end)
                 held += len(encoded) // 4 + 1

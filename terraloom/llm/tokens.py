@@ -1,18 +1,27 @@
 """Ids of whole texts under a vocabulary whose pre-tokens never span white space.
 
 The ids come from the tokenizers library. As such a vocabulary treats the parts between blanks one
-by one, each distinct part is encoded once a task and its ids are reused.
+by one, a worker encodes each distinct part once, keeps a bounded number of them between its tasks,
+and joins their ids. Where the vocabulary normalises and splits in the known way, a part of Latin
+letters, signs and digits is split into words here and the library's model encodes the words;
+every other part goes through the library's whole chain.
 """
 
 from __future__ import annotations
 
+import json
 import os
+from array import array
 
 import numpy as np
+import regex
+
+from terraloom.llm.common import kept_in_worker
 
 _CACHED = 48  # longest part, in characters, whose ids are kept
-_KEPT = 600_000  # parts kept at once
-_GATHERED = 1 << 20  # characters gathered before missing parts are encoded
+_KEPT = 1_000_000  # parts kept at once, and half as many words
+# Characters whose lower case and composition are one character, whatever stands beside them.
+_PLAIN = regex.compile("[!-~¡-įı-ſ]*+").fullmatch
 
 
 def word_vocabulary() -> str:
@@ -21,6 +30,38 @@ def word_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters by which byte-level vocabularies write bytes: printable ones stand for themselves."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+class _Words(dict):
+    def __init__(self, model):
+        self.tokenize, self.letters = model.tokenize, _byte_letters()
+
+    def __missing__(self, word: str) -> bytes:
+        raw = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+        out = self[word] = array("I", [t.id for t in self.tokenize(raw)]).tobytes()
+        return out
+
+
+class _Parts(dict):
+    def __init__(self, tokenizer, find):
+        self.tokenizer, self.find = tokenizer, find
+        self.words = _Words(tokenizer.model)
+
+    def __missing__(self, part: str) -> bytes:
+        if self.find and len(part) <= _CACHED and _PLAIN(part):
+            out = b"".join(map(self.words.__getitem__, self.find(part.lower())))
+        else:
+            out = np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
+        if len(part) <= _CACHED:
+            self[part] = out
+        return out
+
+
 class WordIds:
     """Texts to their ids as little-endian unsigned 32-bit integers."""
 
@@ -30,32 +71,30 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known = {"": b""}
-
-    def _encode(self, parts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str | None]):
-        """The ids of each text, in order; a null text has none."""
-        split, missing, size = [], set(), 0
-        for t in texts:
-            parts = (t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-            missing.update(parts)
-            split.append(parts)
-            size += len(t or "")
-            if size >= _GATHERED:
-                yield from self._joined(split, missing)
-                split, missing, size = [], set(), 0
-        yield from self._joined(split, missing)
-
-    def _joined(self, split: list[list[str]], missing: set[str]):
+        self.known = _Parts(self.tokenizer, _splitter(path))
+
+    def encode(self, text: str | None) -> bytes:
+        """The ids of a text; a null text has none."""
         if len(self.known) > _KEPT:
-            self.known = {"": b""}
-        new = [p for p in missing if p not in self.known]
-        known = self.known
-        known.update(zip(new, self._encode(new)))
-        for parts in split:
-            yield b"".join([known[p] for p in parts])
-        for p in new:
-            if len(p) > _CACHED:
-                del known[p]
+            self.known.clear()
+        if len(self.known.words) > _KEPT // 2:
+            self.known.words.clear()
+        parts = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        return b"".join(map(self.known.__getitem__, parts))
+
+
+def _splitter(path: str):
+    """The vocabulary's own split into words, if it normalises and splits in the known way."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    normal = [(n["type"], n.get("pattern"), n.get("content")) for n in (spec["normalizer"] or {}).get("normalizers", [])]
+    steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+    known = normal == [("NFC", None, None), ("Replace", {"Regex": r"\s+"}, " "), ("Lowercase", None, None)] and len(steps) == 2 \
+        and (steps[0]["type"], steps[0]["behavior"], steps[0]["invert"]) == ("Split", "Removed", True) \
+        and (steps[1]["type"], steps[1]["add_prefix_space"], steps[1]["use_regex"]) == ("ByteLevel", False, False)
+    return regex.compile(steps[0]["pattern"]["Regex"]).findall if known else None
+
+
+def word_ids(path: str) -> WordIds:
+    """The worker's encoder, with what it has encoded so far."""
+    return kept_in_worker(("word-ids", path), lambda: WordIds(path))
