@@ -3,8 +3,8 @@
 A text is cut into pre-tokens by a pattern. Tier one: a minimal perfect hash over the vocabulary's
 tokens tells whether the whole pre-token is a token; one displacement per bucket sends every token
 to its own slot, and comparing the slot's token settles membership. Tier two: other pre-tokens are
-merged from linked bytes, the lowest rank first and the leftmost among equals, off a heap. A task
-resolves each distinct short pre-token once.
+merged from linked bytes, the lowest rank first and the leftmost among equals, off a heap. A worker
+resolves each distinct short pre-token once and keeps a bounded number of them between its tasks.
 
 A null text is empty and has no ids. Whole texts are encoded. Rows with null or repeated ids are
 carried along, an empty table gives an empty result, further columns are ignored.
@@ -23,11 +23,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terraloom.llm.common import keyed, map_arrow
+from terraloom.llm.common import kept_in_worker, keyed, map_arrow
 
 _BUCKET = 4  # tokens a bucket, on average
 _CACHED = 48  # longest pre-token, in characters, whose ids are kept
-_KEPT = 600_000
+_KEPT = 1_000_000  # pre-tokens kept at once
 
 
 @dataclass(frozen=True)
@@ -148,11 +148,12 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
     """
     import public_tokenizers
 
-    table = perfect_hash(read_ranks(path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")))
+    path = path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    table = perfect_hash(read_ranks(path))
     pattern = pattern or public_tokenizers.PATTERN
 
     def run(batches):
-        bpe = ByteBpe(table, pattern)
+        bpe = kept_in_worker(("byte-bpe", path, pattern), lambda: ByteBpe(table, pattern))
         for batch in batches:
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = bpe.encode(t)
