@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,13 +57,23 @@ def pivot_values(df: DataFrame, keys: Sequence[str], col: str, value: str,
 
 
 def conflicting_keys(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """Keys with several rows that disagree on some value, with the counts."""
-    distincts = {f"distinct_{v}": F.count_distinct(F.col(v)) for v in values}
-    counted = df.groupBy(*keys).agg(
+    """Keys with several rows that disagree on some value, with the counts.
+
+    Counts, minima and maxima, which combine before the shuffle, find the keys; distinct values
+    are counted only for their rows.
+    """
+    found = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("num_rows_per_key"),
-        *[c.alias(n) for n, c in distincts.items()])
-    differs = F.greatest(*[F.col(n) for n in distincts]) if len(distincts) > 1 else F.col(next(iter(distincts)))
-    return counted.filter((F.col("num_rows_per_key") > 1) & (differs > 1))
+        *[F.min(v).alias(f"_least_{v}") for v in values], *[F.max(v).alias(f"_most_{v}") for v in values])
+    differs = reduce(lambda a, b: a | b, [F.col(f"_least_{v}") != F.col(f"_most_{v}") for v in values])
+    found = found.filter((F.col("num_rows_per_key") > 1) & differs).select(*keys, "num_rows_per_key")
+    same = reduce(lambda a, b: a & b, [F.col(f"d.{k}").eqNullSafe(F.col(f"f.{k}")) for k in keys])
+    rows = df.alias("d").join(found.alias("f"), same)
+    one = lambda i, v: F.struct(F.lit(i).alias("i"), F.col(f"d.{v}").cast("string").alias("v"))
+    told = rows.select(*[F.col(f"d.{k}") for k in keys], "num_rows_per_key",
+                       F.explode(F.array(*[one(i, v) for i, v in enumerate(values)])).alias("_told")).distinct()
+    counts = [F.count(F.when(F.col("_told.i") == i, F.col("_told.v"))).alias(f"distinct_{v}") for i, v in enumerate(values)]
+    return told.groupBy(*keys, "num_rows_per_key").agg(*counts)
 
 
 def dedupe(df: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
+from pyspark.sql.window import Window
 
 from terraloom import vocab
 from terraloom.functions import scoring
@@ -37,14 +38,9 @@ def dense_ids(df: DataFrame, col: str, out: str = "id") -> DataFrame:
         .repartitionByRange(col).sortWithinPartitions(col))
     local = values.withColumn("_m", F.monotonically_increasing_id()).select(
         col, F.shiftright("_m", 33).alias("_part"), F.col("_m").bitwiseAND((1 << 33) - 1).alias("_pos"))
-    sizes = sorted(tuple(r) for r in local.groupBy("_part").count().collect())  # one row per partition
-    offsets, total = {}, 0
-    for part, n in sizes:
-        offsets[part] = total
-        total += n
-    shift = F.create_map(*[F.lit(x) for pair in offsets.items() for x in pair]) if offsets else None
-    base = F.lit(0) if shift is None else F.try_element_at(shift, F.col("_part"))
-    return local.select(col, (base + F.col("_pos")).cast("long").alias(out))
+    sizes = local.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # one row per partition
+    before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_base"))
+    return local.join(F.broadcast(before), "_part").select(col, (F.col("_base") + F.col("_pos")).cast("long").alias(out))
 
 
 def index_triples(triples: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -65,13 +61,14 @@ def add_inverses(triples: DataFrame) -> DataFrame:
 
 
 def split_triples(triples: DataFrame, weights: Sequence[int] = (8, 1, 1), seed: int = 42) -> DataFrame:
-    """Column ``split``: train, validation or test by a seeded hash of the triple.
+    """Column ``split``: train, validation or test by the MD5 of the triple and the seed.
 
     One triple of every entity and of every relation is always in train, so nothing is ranked
     that was never trained. The choice is the least triple each, found by a combining aggregate.
     """
     rows = triples.select(*TRIPLE).distinct()
-    bucket = F.pmod(F.xxhash64(*TRIPLE, F.lit(seed)), F.lit(sum(weights)))
+    digest = F.md5(F.concat_ws("\t", *TRIPLE, F.lit(str(seed))))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % sum(weights)
     row = F.struct(*TRIPLE)
     member = F.explode(F.array(
         F.struct(F.lit("e").alias("kind"), F.col("s").alias("name")),
@@ -432,9 +429,17 @@ def message_pass(vectors: DataFrame, triples: DataFrame, weights: dict[str, np.n
     means = sent.groupBy("o", "p").agg(Summarizer.mean(array_to_vector("vec")).alias("mean"))
     rows = means.select("o", "p", vector_to_array("mean").alias("vec"))
     if weights:
+        size = sum(np.asarray(w).nbytes for w in weights.values())
+        if size > _BROADCAST_BYTES:
+            raise ValueError(f"weights of {size} bytes exceed what is shipped to every task ({_BROADCAST_BYTES})")
+
         @F.pandas_udf("array<double>")
         def apply(p: pd.Series, v: pd.Series) -> pd.Series:
-            return pd.Series([weights[k] @ np.asarray(x) if k in weights else np.asarray(x) for k, x in zip(p, v)])
+            out, vectors = v.copy(), _stack(v) if len(v) else None
+            for name in set(p) & set(weights):
+                at = np.flatnonzero(p.to_numpy() == name)
+                out.iloc[at] = pd.Series(list(np.einsum("ij,nj->ni", weights[name], vectors[at])), index=out.index[at])
+            return out
         rows = rows.withColumn("vec", apply("p", "vec"))
     return rows.groupBy("o").agg(Summarizer.sum(array_to_vector("vec")).alias("sum")).select(
         F.col("o").alias("label"), vector_to_array("sum").alias("vec"))
@@ -443,11 +448,15 @@ def message_pass(vectors: DataFrame, triples: DataFrame, weights: dict[str, np.n
 # --- experiments and features -----------------------------------------------------------------------
 
 def stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """A stored table, or None where there is none yet."""
+    """A completely written table, or None where there is none yet.
+
+    Writers leave ``_SUCCESS`` last; a table without it was interrupted and does not count.
+    """
     try:
+        spark.read.format("binaryFile").load(f"{path}/_SUCCESS").select("path")
         return spark.read.parquet(path)
     except AnalysisException as error:
-        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
@@ -461,14 +470,23 @@ def train_or_load(spark: SparkSession, path: str, train, force: bool = False) ->
     return spark.read.parquet(path)
 
 
+def grid_split(triples: DataFrame) -> DataFrame:
+    """The split that experiments use: inverse triples are added to the training part alone.
+
+    What is tested or validated is a given triple, and its own reverse is never trained.
+    """
+    split = split_triples(triples)
+    train = add_inverses(split.filter(F.col("split") == "train")).withColumn("split", F.lit("train"))
+    return train.unionByName(split.filter(F.col("split") != "train"))
+
+
 def run_grid(spark: SparkSession, triples: DataFrame, configs: Sequence[tuple[str, int]], path: str,
              force: bool = False, **options) -> tuple[DataFrame | None, dict[str, str]]:
     """Metrics of all experiments and the errors of those that failed.
 
-    A configuration is (model, dimension); a repeated one runs once. Inverse triples are added.
+    A configuration is (model, dimension); a repeated one runs once. See :func:`grid_split`.
     """
-    parts = split_triples(add_inverses(triples))
-    split = cut_lineage(parts)
+    split = cut_lineage(grid_split(triples))
     of = lambda name: split.filter(F.col("split") == name)
     metrics, failed = None, {}
     for model, dim in dict.fromkeys(configs):

@@ -221,8 +221,8 @@ left join rent_annual r on r.municipality_id=m.rid and r."any"=m.rany
 left join indicator_wide w on w.municipality_id=m.municipality_id""",
     "squares": """select lpad(cast(c_custkey as varchar),5,'0') id, c_custkey%40 x, c_custkey//40 y,
   c_name as name, n_name parent from customer join nation on c_nationkey=n_nationkey""",
-    "grid_edges": """select a.id, b.id neighbor_id from squares a join squares b
-  on abs(a.x-b.x)<=1 and abs(a.y-b.y)<=1 and a.id<>b.id""",
+    "grid_edges": """select a.id, b.id neighbor_id from squares a cross join (select unnest(range(9)) k)
+  join squares b on b.x=a.x+k%3-1 and b.y=a.y+k//3-1 where a.id<>b.id""",
     "parent_edges": """select distinct a.parent, b.parent as neighbor from grid_edges e
   join squares a on a.id=e.id join squares b on b.id=e.neighbor_id where a.parent<>b.parent""",
     "geo_triples": " union ".join(
@@ -298,7 +298,7 @@ def sql(body: str, *views: str, **extra: str) -> str:
 
     for v in views:
         need(v)
-    parts = [f"{v} as ({CTES[v]})" for v in order] + [f"{k} as ({v})" for k, v in extra.items()]
+    parts = [f"{v} as materialized ({CTES[v]})" for v in order] + [f"{k} as ({v})" for k, v in extra.items()]
     return ("with " + ",\n".join(parts) + "\n" if parts else "") + body
 
 

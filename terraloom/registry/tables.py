@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 from pyspark.sql import types as T
 
 from terraloom import schemas, vocab
@@ -79,17 +80,23 @@ def _(spark, sf):
     return K.validate_cube(documents.parse_cubes(_nation_cubes(spark, sf), "doc"))
 
 
-@query("landed_pages", "select o_custkey // 100 as page, c, count(*) as rows from (select o_custkey, o_orderstatus c from orders) "
-       "where o_custkey // 100 <= (select max(o_custkey // 100) from orders) group by 1, 2")
+_PAGE_ROWS = "select o_orderstatus c, o_custkey // 100 as page, row_number() over (partition by o_custkey // 100 order by o_orderkey) - 1 n from orders"
+
+
+@query("landed_pages", f"""with rows as ({_PAGE_ROWS}), page_sizes as (select page, case when page % 11 = 7 then 40 when page % 13 = 12 then 0 else 50 end size from rows group by 1 having count(*) >= 50),
+  read as (select page from page_sizes where page <= (select coalesce(min(page), 0) from (select page from page_sizes where size < 50
+    union all select a.page from page_sizes a where not exists (from page_sizes b where b.page = a.page + 1))))
+  select page, c, count(*) as rows from rows join page_sizes using (page) where n < size and page in (from read) group by 1, 2""")
 def _(spark, sf):
-    page = F.floor(F.col("o_custkey") / 100)
+    """Pages of 50 records; some are short, some empty, and what follows the first of them is not read."""
+    rank = F.row_number().over(Window.partitionBy("page").orderBy("o_orderkey")) - 1
+    rows = table(spark, sf, "orders").withColumn("page", F.floor(F.col("o_custkey") / 100)).withColumn("n", rank)
+    size = F.when(F.col("page") % 11 == 7, 40).when(F.col("page") % 13 == 12, 0).otherwise(50)
     record = F.struct(C.slice_id("o_custkey").alias("codi_territorial"), F.col("o_orderstatus").alias("periode"))
-    pages = A.collect_in_parts(table(spark, sf, "orders").withColumn("page", page).withColumn(
-        "r", F.struct("o_orderkey", record.alias("r"))), ["page"], F.col("r"), "records", 1_000_000)
+    pages = rows.filter("n < 50").groupBy("page").agg(F.collect_list(F.when(F.col("n") < size, record)).alias("records"), F.count(F.lit(1)).alias("full"))
     path = shared_path(spark, "pages")
-    pages.select("page", F.to_json(F.transform("records", lambda r: r["r"])).alias("value")) \
-        .write.partitionBy("page").text(path)
-    landed = documents.read_pages(spark, path, limit=1, number=r"page=(\d+)")
+    pages.filter("full = 50").select("page", F.to_json("records").alias("value")).write.partitionBy("page").text(path)
+    landed = documents.read_pages(spark, path, limit=50, number=r"page=(\d+)")
     return landed.groupBy("page", F.col("periode").alias("c")).agg(F.count(F.lit(1)).alias("rows"))
 
 

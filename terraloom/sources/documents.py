@@ -39,25 +39,36 @@ def read_pages(spark: SparkSession, path: str, limit: int = 1000, schema: T.Stru
                number: str = r"(\d+)[^/\d]*$") -> DataFrame:
     """Records of landed pages in page order, up to the first empty or short page.
 
-    A page is a file that holds a JSON array and whose path has the page's number or offset
+    A page is a file that holds one JSON array and whose path has the page's number or offset
     where ``number`` says, by default as the last digits of its name. Numbers count from 0 or 1;
     offsets are multiples of ``limit`` from 0. Spark does not list files without content, so a
-    missing number is an empty page. The last page is one small aggregate over page sizes,
-    fetched when the plan is built. Records keep the text form they were landed in.
+    missing number after the first page is an empty page. A text that is no JSON array, a number
+    that two files share, and a missing (or empty) first page are errors and raise. Page sizes
+    are one small row a page; they are checked when the plan is built. Records keep the text form
+    they were landed in.
     """
     record = schema or T.StructType([T.StructField(f.name, T.StringType()) for f in schemas.RENT.fields])
     name = F.regexp_extract(F.col("_metadata.file_path"), number, 1)
     pages = spark.read.text(path, wholetext=True).select(
-        name.cast("long").alias("page"),
-        F.coalesce(F.from_json("value", T.ArrayType(record)), F.array().cast(T.ArrayType(record))).alias("records"))
-    sizes = pages.select("page", F.size("records").alias("n"))
-    first, offsets = sizes.agg(F.min("page"), F.every(F.col("page") % limit == 0)).first()
-    step = limit if offsets else 1
-    begins = first is not None and first <= (0 if step > 1 else 1)
+        name.try_cast("long").alias("page"),
+        F.when(F.col("value").rlike(r"^\s*\[[\s\S]*\]\s*$"), F.from_json("value", T.ArrayType(record), {"mode": "PERMISSIVE"})).alias("records"),
+        F.try_parse_json(F.concat(F.lit('{"v":'), "value", F.lit("}"))).isNull().alias("malformed"))  # inside an object, a second text is an error
+    sizes = pages.select("page", F.size("records").alias("n"), (F.col("malformed") | F.col("records").isNull()).alias("bad"))
+    checked = sizes.agg(
+        F.min("page").alias("first"), F.every(F.col("page") % limit == 0).alias("offsets"), F.count_if("bad").alias("bad"),
+        F.min(F.when(F.col("bad"), F.col("page"))).alias("worst"), F.count("page").alias("pages"), F.count_distinct("page").alias("numbers"),
+        F.count_if(F.col("page").isNull()).alias("unnamed")).first()
+    if checked["bad"]:
+        raise ValueError(f"{checked['bad']} pages hold no single JSON array, the first is page {checked['worst']}")
+    if checked["pages"] != checked["numbers"] or checked["unnamed"]:
+        raise ValueError("pages without a number of their own")
+    step = limit if checked["offsets"] else 1
+    if checked["first"] is not None and checked["first"] > (0 if step > 1 else 1):
+        raise ValueError(f"the first page is missing: numbers begin at {checked['first']}")
     follows = sizes.select((F.col("page") - step).alias("page"), F.lit(True).alias("follows"))
     stop = sizes.join(follows, "page", "left").filter(
-        (F.col("n") < limit) | F.col("follows").isNull()).agg(F.min("page")).first()[0] if begins else -1
-    kept = pages.filter(F.col("page") <= stop)
+        (F.col("n") < limit) | F.col("follows").isNull()).agg(F.min("page")).first()[0]
+    kept = pages.filter(F.col("page") <= (-1 if stop is None else stop))
     return kept.select("page", F.posexplode("records").alias("position", "r")).select(
         "page", "position", "r.*")
 

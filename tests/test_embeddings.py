@@ -150,6 +150,23 @@ def test_message_pass(spark, rows):
     assert rows(E.message_pass(vectors, triples, {"q": 2 * np.eye(2)})) == [("c", [4.0, 7.0])]
 
 
+def test_no_test_fact_is_trained_in_reverse(spark):
+    given = {tuple(r) for r in toy(spark).select("s", "p", "o").collect()}
+    split = [tuple(r) for r in E.grid_split(toy(spark)).select("s", "p", "o", "split").collect()]
+    held = {r[:3] for r in split if r[3] != "train"}
+    train = {r[:3] for r in split if r[3] == "train"}
+    assert held and held <= given and given == {t for t in held | train if not t[1].endswith("_inverse")}
+    assert all((o, p + "_inverse", s) not in train for s, p, o in held)
+    assert all((o, p + "_inverse", s) in train for s, p, o in train if not p.endswith("_inverse"))
+
+
+def test_an_unfinished_table_is_not_stored(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    assert E.stored(spark, str(tmp_path / "t")).count() == 3
+    (tmp_path / "t" / "_SUCCESS").unlink()
+    assert E.stored(spark, str(tmp_path / "t")) is None and E.stored(spark, str(tmp_path / "nothing")) is None
+
+
 def test_grid_goes_on_after_a_failure_and_reuses_results(spark, tmp_path, rows):
     options = {"epochs": 1, "check_every": 1}
     metrics, failed = E.run_grid(spark, toy(spark, 12), [("TransE", 4), ("Nope", 4), ("TransE", 4)], str(tmp_path), **options)

@@ -48,7 +48,7 @@ def test_income_from_cube_file(spark, tmp_path):
     assert [(r.municipality_id, r.indicator_code, r.value) for r in out.collect()] == [("080193", "PER_CAPITA_EUR", 10.0), ("080193", "VALUE_EK", 20.0)]
 
 
-@pytest.mark.parametrize("pages,wanted", [([2, 2, 1, 2], 5), ([2, 2, 0, 2], 4), ([2, 2], 4), ([0, 2], 0), ([1, 2], 1)])
+@pytest.mark.parametrize("pages,wanted", [([2, 2, 1, 2], 5), ([2, 2, 0, 2], 4), ([2, 2], 4), ([1, 2], 1)])
 def test_pages_end_at_the_first_short_one(spark, tmp_path, pages, wanted):
     for i, n in enumerate(pages):
         body = json.dumps([{"codi_territorial": f"{i}-{j}", "renda": "5"} for j in range(n)]) if n else ""
@@ -58,6 +58,18 @@ def test_pages_end_at_the_first_short_one(spark, tmp_path, pages, wanted):
     assert [r.codi_territorial for r in sorted(out, key=lambda r: (r.page, r.position))] == [f"{i}-{j}" for i, n in enumerate(pages) for j in range(n)][:wanted]
 
 
+@pytest.mark.parametrize("files", [
+    {"page_0.json": "", "page_2.json": "[{}]"}, {"page_2.json": "[{}]"}, {"page_0.json": "[{}, {}]", "page_2.json": "<html>busy</html>"},
+    {"page_0.json": "[{}][{}]"}, {"page_0.json": '{"error": 1}'}, {"page_0.json": "[{}", "page_2.json": "[{}]"},
+    {"a/page_0.json": "[{}]", "b/page_0.json": "[{}]"}, {"page.json": "[{}]"}])
+def test_damaged_pages_raise(spark, tmp_path, files):
+    for name, body in files.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(body)
+    with pytest.raises(ValueError):
+        documents.read_pages(spark, str(tmp_path / "*") if any("/" in n for n in files) else str(tmp_path), limit=2)
+
+
 def test_tree(spark):
     tree = {"fitxes": {"v": {"scheme": "cat", "id": "00", "v": [
         {"scheme": "com", "id": "01", "v": {"scheme": "mun", "id": "080193"}},
@@ -117,6 +129,21 @@ def test_ntriples_round_trip(spark, tmp_path, rows):
     assert rows(graphs.read_tsv_triples(spark, str(tmp_path / "tsv"))) == [("u:a", "u:p", "u:b")]
 
 
+def test_ntriples_of_all_forms(spark, rows):
+    lines = ["", "# comment", '_:a <u:p> _:b . # blank nodes', r'<u:a> <u:p> "\u00e9 \U0001F600 \b\f\'\\u0041 \\n"@ca .', '<u:\\u00e9><u:p><u:o>.',
+             '<u:a> <u:q> "1.50"^^<http://www.w3.org/2001/XMLSchema#double> .', '<u:a> <u:q> "\ue000 private" .']
+    got = graphs.parse_ntriples(spark.createDataFrame([(x,) for x in lines], "value string"))
+    assert rows(got, "s", "p", "o", "o_kind") == sorted([
+        ("_:a", "u:p", "_:b", "uri"), ("u:a", "u:p", "\u00e9 \U0001f600 \b\f'\\u0041 \\n", "literal"), ("u:\u00e9", "u:p", "u:o", "uri"),
+        ("u:a", "u:q", "1.50", "literal"), ("u:a", "u:q", "\ue000 private", "literal")])
+    assert [r.o_num for r in got.collect() if r.o_num] == [1.5]
+    again = graphs.parse_ntriples(graphs.ntriples_lines(got))
+    assert rows(again) == rows(got)
+    for wrong in ("<u:a> <u:b> .", "nonsense", '<u:a> <u:b> "open .'):
+        with pytest.raises(Exception, match="no N-Triples statement"):
+            graphs.parse_ntriples(spark.createDataFrame([(wrong,)], "value string")).collect()
+
+
 def test_relations(spark, tmp_path, rows):
     whole = {"08019": {"name": "A", "neighbors": [{"id": "08101", "name": "B"}]}, "08101": {"name": "B", "neighbors": []}}
     (tmp_path / "n.json").write_text(json.dumps(whole, indent=4))
