@@ -278,14 +278,18 @@ def train_epoch(params: DataFrame, triples: DataFrame, model: str, dim: int, epo
 
 def train_kge(train: DataFrame, valid: DataFrame | None = None, model: str = "TransE", dim: int = 64,
               epochs: int = 300, *, seed: int = 42, margin: float = 1.0, rate: float = 0.1, batches: int = 1,
-              check_every: int = 5, patience: int = 3) -> tuple[DataFrame, list[dict]]:
+              batch_size: int | None = None, check_every: int = 5, patience: int = 3) -> tuple[DataFrame, list[dict]]:
     """Train embeddings of ``s, p, o`` triples; returns parameters and the history per epoch.
 
     Every ``check_every`` epochs the validation triples are ranked, and training stops after
     ``patience`` checks without a better mean reciprocal rank; the best parameters are returned.
+    An epoch makes one step for each of ``batches`` parts of the triples, or for each part of
+    about ``batch_size`` triples.
     """
     mapped, entities, relations = index_triples(train)
     mapped = cut_lineage(mapped)
+    if batch_size:
+        batches = max(1, math.ceil(mapped.count() / batch_size))
     sizes = {"e": entities.count(), "r": relations.count()}
     params = cut_lineage(init_parameters(entities, relations, model, dim, seed))
     history, best, best_score, waited = [], None, -1.0, 0
@@ -309,7 +313,7 @@ def train_kge(train: DataFrame, valid: DataFrame | None = None, model: str = "Tr
 
 # --- ranking ------------------------------------------------------------------------------------
 
-_BLOCK_ROWS = 4096
+_BLOCK_ROWS = 16_384
 
 
 def _rank_block(model: str, has_extra: bool):
@@ -337,7 +341,7 @@ def _rank_block(model: str, has_extra: bool):
 
 
 def rank_triples(params: DataFrame, test: DataFrame, known: DataFrame, model: str,
-                 block_rows: int = _BLOCK_ROWS, target_rows: int = 512, query_rows: int = 256) -> DataFrame:
+                 block_rows: int = _BLOCK_ROWS, target_rows: int = 512, query_rows: int = 8192) -> DataFrame:
     """Filtered realistic ranks as ``s, p, o, side, rank``.
 
     Each test triple is ranked against all entities in head and in tail position; candidates

@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 from terraloom import schemas, vocab
 from terraloom.functions.columns import normalize_id
 from terraloom.operators.aggregate import collect_in_parts
-from terraloom.operators.embeddings import embedding_features, train_kge, train_or_load
+from terraloom.operators.embeddings import compare_experiments, embedding_features, run_grid, train_kge, train_or_load
 from terraloom.operators.features import feature_columns, time_features
 from terraloom.operators.joins import derive_parent_edges, join_embeddings, mapping_frame, with_geometry
 from terraloom.operators.ordering import dedupe_keys, time_split
 from terraloom.operators.patterns import CATALOG, run_catalog
 from terraloom.operators.quality import entity_triples
-from terraloom.operators.regression import evaluate, save_model, train_gbt, write_metrics
+from terraloom.operators.regression import evaluate, save_model, top_importances, train_gbt, write_metrics
 from terraloom.operators.retrieval import render_prompts, retrieve_context
 from terraloom.operators.schema import map_column
 from terraloom.operators.spatial import spatial_neighbors
@@ -133,19 +133,25 @@ def _predict(spark: SparkSession, at: dict[str, str], annual: DataFrame, vectors
     timed = time_features(joined).dropna(subset=["avg_monthly_rent", "avg_monthly_rent_lag1"])
     split = time_split(timed, "any")
     model = train_gbt(split, feature_columns(timed), **options)
-    _, metrics = evaluate(model, split)
+    scored, metrics = evaluate(model, split)
     save_model(model, f"{at['models']}/rent")
     write_metrics(metrics, f"{at['analysis']}/prediction")
+    scored.write.mode("overwrite").parquet(f"{at['analysis']}/predictions")
+    top_importances(spark, model).write.mode("overwrite").parquet(f"{at['analysis']}/importances")
 
 
 def analyse(spark: SparkSession, root: str, parts: Sequence[str], fmt: str = "parquet", model: str = "TransH",
             dim: int = 128, questions: DataFrame | None = None, training: dict | None = None,
-            boosting: dict | None = None) -> None:
-    """Chosen analysis parts in fixed order: catalogue queries, retrieval, embeddings, prediction."""
+            boosting: dict | None = None, grid: Sequence[tuple[str, int]] = ()) -> None:
+    """Chosen analysis parts in fixed order: catalogue queries, retrieval, embeddings, prediction.
+
+    Embeddings are split, trained with early stopping, tested and compared for ``grid`` or else for
+    ``(model, dim)`` alone; the prediction joins those of ``model`` and ``dim``.
+    """
     at = layout(root)
     graph = read_triples(spark, f"{at['exploitation']}/knowledge_graph", fmt)
-    path = f"{at['analysis']}/embeddings/{model}_dim_{dim}"
-    vectors = lambda: train_or_load(spark, path, lambda: train_kge(
+    stored_at = f"{at['analysis']}/embeddings"
+    vectors = lambda: train_or_load(spark, f"{stored_at}/{model}_dim_{dim}", lambda: train_kge(
         entity_triples(graph), None, model, dim, **(training or {}))[0])
     for part in PARTS:
         if part not in parts:
@@ -157,7 +163,10 @@ def analyse(spark: SparkSession, root: str, parts: Sequence[str], fmt: str = "pa
                 questions.select("question_id", "question").distinct(), "question_id")
             write_table(render_prompts(found, "question", "context"), f"{at['analysis']}/prompts", fmt)
         elif part == "embeddings":
-            vectors()
+            metrics, failed = run_grid(spark, entity_triples(graph), [*grid] or [(model, dim)], stored_at, **(training or {}))
+            if metrics is None:
+                raise RuntimeError(f"no experiment succeeded: {failed}")
+            write_table(compare_experiments(metrics), f"{at['analysis']}/comparison", fmt)
         elif part == "prediction":
             annual = read_table(spark, f"{at['exploitation']}/municipal_annual", fmt)
             _predict(spark, at, annual, vectors().filter("kind = 'e'"), dim, boosting or {})
