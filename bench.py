@@ -28,6 +28,9 @@ HEADLINE = {
     "g9_province_neighbors": "query_province_neighbors",
     "g9_top_of_comarca": "query_top_of_comarca",
     "m3_time_features": "time_features",
+    "g11_closure": "closure",
+    "g10_catalog": "query_catalog",
+    "e6_rank_triples": "rank_triples",
 }
 
 
