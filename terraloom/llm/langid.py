@@ -119,12 +119,16 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 def sampled_texts(docs: DataFrame, by: str, per_class: int, max_rows: int, id_column: str, text: str, max_chars: int) -> list[tuple]:
     """A bounded sample ``(class, text)`` for fitting: for each class the ids with the smallest hashes.
 
-    At most ``per_class`` ids a class, ``max_rows`` rows, and texts of at most ``max_chars``.
+    At most ``per_class`` ids a class, ``max_rows`` classes and rows, and texts of at most ``max_chars``.
     """
     ids = docs.select(F.col(quoted(id_column)).alias("id"), F.col(quoted(by)).alias("class"), F.length(text_of(text)).alias("n"))
     ids = ids.where(F.col("id").isNotNull() & F.col("class").isNotNull() & F.col("n").between(1, max_chars)).drop("n")
-    order = Window.partitionBy("class").orderBy(F.xxhash64("id"), "id")
-    chosen = ids.withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_class).select("id").distinct().limit(max_rows)
+    counts = ids.groupBy("class").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "class").limit(max_rows)
+    # A class keeps about four times the ids it needs, so that the window below sees as few of a very frequent class as of others.
+    share = F.pmod(F.xxhash64("id"), F.lit(1 << 31)) * F.col("n") < F.lit((1 << 31) * 4.0 * per_class)
+    order = Window.partitionBy("class").orderBy(F.pmod(F.xxhash64("id"), F.lit(1 << 31)), "id")
+    chosen = (ids.join(F.broadcast(counts), "class").where(share).withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_class)
+              .select("id").distinct().limit(max_rows))
     rows = (docs.select(F.col(quoted(id_column)).alias("id"), F.col(quoted(by)).alias("class"), text_of(text).alias("t"))
             .join(F.broadcast(chosen), "id", "left_semi").where(F.col("class").isNotNull() & F.length("t").between(1, max_chars)).limit(max_rows))
     return sorted((r["class"], r["t"]) for r in rows.collect())
