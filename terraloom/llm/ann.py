@@ -37,6 +37,7 @@ LEAF = 128  # sampled vectors in a leaf at most
 PROBES = 200  # leaves that a query meets, of at most TREES * SAMPLE / LEAF * 2
 BLOCK = 1 << 14  # vectors of a leaf searched at once
 _HELD = 1 << 20  # results of a task held for combining
+_SCORES = 1 << 22  # scores of a block computed at once
 
 
 @dataclass(frozen=True)
@@ -148,34 +149,35 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str = "
 
     def to_leaves(batches):
         for batch in batches:
-            ids, v = batch.column(0).to_pylist(), _matrix(batch.column(1), dim)
-            for i, x, leaves in zip(ids, v, route(_lifted(v, longest), forest)):
+            ids, firsts, v = batch.column(0).to_pylist(), batch.column(2).to_pylist(), _matrix(batch.column(1), dim)
+            for i, first, x, leaves in zip(ids, firsts, v, route(_lifted(v, longest), forest)):
                 for n in leaves.tolist():
-                    yield n, i, x.tobytes()
+                    yield n, i, first, x.tobytes()
 
     def to_probes(batches):
         for batch in batches:
             for i, x in zip(batch.column(0).to_pylist(), _matrix(batch.column(1), dim)):
                 unit = np.append(x / np.linalg.norm(x), 0.0) * longest
                 for n in nearest_leaves(unit, forest, probes):
-                    yield n, i, x.tobytes()
+                    yield n, i, 0, x.tobytes()
 
-    kinds = {"leaf": pa.int64(), "who": pa.int64(), "x": pa.binary()}
-    posted = materialise(map_arrow(nodes.select("node", "v"), to_leaves, "leaf long, who long, x binary", **kinds), "posted")
-    probing = map_arrow(asking, to_probes, "leaf long, who long, x binary", **kinds)
+    kinds = {"leaf": pa.int64(), "who": pa.int64(), "first": pa.int64(), "x": pa.binary()}
+    schema = "leaf long, who long, first long, x binary"
+    posted = materialise(map_arrow(nodes.select("node", "v", F.get("ids", F.lit(0))), to_leaves, schema, **kinds), "posted")
+    probing = map_arrow(asking, to_probes, schema, **kinds)
     # One row a leaf, as many as the sample allows.
     blocks = materialise(posted.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")), "blocks")
-    members = posted.join(F.broadcast(blocks), "leaf").select("leaf", F.pmod(F.xxhash64("who"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("asks"), "who", "x")
+    members = posted.join(F.broadcast(blocks), "leaf").select("leaf", F.pmod(F.xxhash64("who"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("asks"), "who", "first", "x")
     visits = probing.join(F.broadcast(blocks), "leaf").select(
-        "leaf", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("asks"), "who", "x")
+        "leaf", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("asks"), "who", "first", "x")
     dealt = members.unionByName(visits).repartition("leaf", "block").sortWithinPartitions("leaf", "block", "asks")
 
     def rank(batches):
         combined = _Best(k + 1)
         key, members, matrix = None, [], None
         for batch in batches:
-            leaf_no, block_no, asks, who = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-            x = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.float64).reshape(-1, dim)
+            leaf_no, block_no, asks, who, first = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            x = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.float64).reshape(-1, dim)
             change = np.flatnonzero((leaf_no[1:] != leaf_no[:-1]) | (block_no[1:] != block_no[:-1]) | (asks[1:] != asks[:-1])) + 1
             bounds = [0, *change.tolist(), len(who)]
             for a, b in zip(bounds, bounds[1:]):
@@ -183,20 +185,19 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str = "
                 if now != key:
                     key, members, matrix = now, [], None
                 if not asks[a]:
-                    members.append((who[a:b], x[a:b]))
+                    members.append((who[a:b], first[a:b], x[a:b]))
                     continue
                 if not members:
                     continue
                 if matrix is None:
-                    matrix = np.concatenate([m[0] for m in members]), np.concatenate([m[1] for m in members])
+                    matrix = [np.concatenate(part) for part in zip(*members)]
                 yield from combined.add(who[a:b], x[a:b], *matrix)
         yield from combined.take()
 
-    found = map_arrow(dealt, rank, "query long, node long, score double", query=pa.int64(), node=pa.int64(), score=pa.float64()) \
-        .groupBy("query", "node").agg(F.max("score").alias("score"))
-    ids = nodes.select("node", "ids", F.get("ids", F.lit(0)).alias("first"))
+    found = map_arrow(dealt, rank, "query long, node long, first long, score double", query=pa.int64(), node=pa.int64(), first=pa.int64(), score=pa.float64()) \
+        .groupBy("query", "node", "first").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query").orderBy(F.desc("score"), "first")
-    best = found.join(ids, "node").withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
+    best = found.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1).join(nodes.select("node", "ids"), "node")
     # For each distinct query vector its k + 1 nearest ids, itself among them; then each row leaves itself out.
     listed = best.groupBy("query").agg(F.flatten(F.collect_list(
         F.transform("ids", lambda i: F.struct((-F.col("score")).alias("far"), i.alias("id"))))).alias("near"))
@@ -222,35 +223,36 @@ class _Best:
     def __init__(self, k: int):
         self.k, self.held, self.size = k, [], 0
 
-    def add(self, who: np.ndarray, x: np.ndarray, ids: np.ndarray, matrix: np.ndarray):
-        scores = x @ matrix.T
-        if len(ids) > self.k:
-            top = np.argpartition(-scores, self.k - 1, axis=1)[:, :self.k]
-        else:
-            top = np.broadcast_to(np.arange(len(ids)), scores.shape)
-        exact = (matrix[top] * x[:, None, :]).sum(2)
-        self.held.append((np.repeat(who, top.shape[1]), ids[top].ravel(), exact.ravel()))
-        self.size += exact.size
-        if self.size > _HELD:
-            self.combine()
-            if self.size > _HELD // 2:
-                yield from self.take()
+    def add(self, who: np.ndarray, x: np.ndarray, ids: np.ndarray, firsts: np.ndarray, matrix: np.ndarray):
+        step = max(1, _SCORES // len(ids))
+        for at in range(0, len(who), step):
+            asked, q = who[at:at + step], x[at:at + step]
+            scores = q @ matrix.T
+            if len(ids) > self.k:
+                least = np.partition(scores, len(ids) - self.k, axis=1)[:, len(ids) - self.k]
+                row, col = np.nonzero(scores >= (least - 1e-9 * np.maximum(1.0, np.abs(least)))[:, None])  # all that may tie with the last
+            else:
+                row, col = (part.ravel() for part in np.indices(scores.shape))
+            self.held.append((asked[row], ids[col], firsts[col], (matrix[col] * q[row]).sum(1)))
+            self.size += len(row)
+            if self.size > _HELD:
+                self.combine()
+                if self.size > _HELD // 2:
+                    yield from self.take()
 
     def combine(self) -> None:
-        who, node, score = (np.concatenate(c) for c in zip(*self.held))
-        order = np.lexsort((node, -score, who))
-        who, node, score = who[order], node[order], score[order]
+        who, node, first, score = (np.concatenate(c) for c in zip(*self.held))
+        order = np.lexsort((node, first, -score, who))
+        who, node, first, score = who[order], node[order], first[order], score[order]
         new = np.ones(len(who), bool)
         new[1:] = (who[1:] != who[:-1]) | (node[1:] != node[:-1])  # a node met in two trees
-        who, node, score = who[new], node[new], score[new]
-        first = np.searchsorted(who, who, "left")
-        keep = np.arange(len(who)) - first < self.k
-        self.held = [(who[keep], node[keep], score[keep])]
+        who, node, first, score = who[new], node[new], first[new], score[new]
+        keep = np.arange(len(who)) - np.searchsorted(who, who, "left") < self.k
+        self.held = [(who[keep], node[keep], first[keep], score[keep])]
         self.size = int(keep.sum())
 
     def take(self):
         if self.held:
             self.combine()
-            for row in zip(*(c.tolist() for c in self.held[0])):
-                yield row
+            yield from zip(*(c.tolist() for c in self.held[0]))
         self.held, self.size = [], 0

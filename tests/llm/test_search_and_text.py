@@ -47,6 +47,13 @@ def test_search_over_all_leaves_is_exact_with_ties_and_odd_vectors(spark):
         assert [i for _, i, _ in got[q]] == [i for _, i in near]
 
 
+def test_ties_between_different_vectors_go_to_smaller_ids(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.integers(-1, 2, 8).astype(float).tolist()) for i in range(700)]
+    got, want = run(spark, rows, k=7, leaf=64, probes=10 ** 6, block=100), brute(rows, lambda i: i % 20 == 0, 7)
+    assert {q: [i for _, i, _ in x] for q, x in got.items()} == {q: [i for _, i in near] for q, near in want.items()}
+
+
 def test_search_recall_through_the_shared_queue(spark):
     rng = np.random.default_rng(1)
     centers = rng.normal(size=(40, 8))
@@ -106,7 +113,7 @@ def plain_groups(rows):
     names = sorted({f for _, _, f in forms if f})
 
     def sim(s):
-        hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in s.split(" ")]
+        hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in set(s.split(" "))]
         return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
     def distance(a, b):
@@ -151,10 +158,10 @@ def test_line_groups_match_brute_force(spark):
 
 
 def test_simhash_of_lines_of_every_length(spark):
-    texts = [prose(n, n).lower() for n in (1, 2, 3, 254, 255, 256, 257, 40_000)]
-    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", lines.simhash(F.split("t", " ")).alias("s"))
+    texts = [" ".join(f"{w}{k}" for k, w in enumerate(prose(n, n).lower().split())) for n in (1, 2, 3, 63, 64, 65, 254, 255, 256, 257, 40_000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", lines.word_hashes(F.col("t")).alias("h")).select("t", lines.simhash(F.col("h")).alias("s"))
     for r in df.collect():
-        hashes = np.array([xxhash.xxh64_intdigest(w.encode(), 42) for w in r.t.split(" ")], np.uint64)
+        hashes = np.array([xxhash.xxh64_intdigest(w.encode(), 42) for w in set(r.t.split(" "))], np.uint64)
         ones = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
         assert r.s == int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)[0])
 
