@@ -3,8 +3,8 @@
 Subwords are the character n-grams of each lower-cased word with its boundaries, hashed into a
 table of embeddings. A text's vector is the mean of its n-grams' embeddings; a linear softmax maps
 it to languages. Embeddings and weights are learned by stochastic gradient descent in numpy from a
-bounded sample of labelled texts. A temperature and a rejection threshold are calibrated on rows of
-that sample which training leaves out.
+bounded sample of labelled texts. Scores are calibrated by a temperature fitted on rows of that
+sample which training leaves out, and a document is rejected if its score is too low.
 
 A null text and a text without a letter give ``und`` with score 0 and are rejected. Without any
 labelled text every document is ``und``. Whole texts are scored, in pieces of bounded size. Ties
@@ -135,30 +135,32 @@ def sampled_texts(docs: DataFrame, by: str, per_class: int, max_rows: int, id_co
 
 
 def train_languages(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = 400,
-                    max_rows: int = 10_000, max_chars: int = 20_000, dim: int = 16, epochs: int = 6, rate: float = 0.5, seed: int = 1) -> LanguageModel:
+                    max_rows: int = 10_000, max_chars: int = 20_000, dim: int = 16, epochs: int = 6, rate: float = 0.5, seed: int = 1,
+                    reject_below: float = 0.3) -> LanguageModel:
     """Fit on a sample of at most ``per_language`` texts a language and ``max_rows`` in all.
 
-    Every fifth sampled text is left out of training and calibrates temperature and threshold: the
-    threshold is the score that all but one in a thousand of its rightly classified texts exceed,
-    and never above one half.
+    Every fifth sampled text is left out of training; these texts and runs of one to eight of their
+    words fit the temperature that makes scores probabilities. Documents whose score is below
+    ``reject_below`` are rejected: the model is then far more likely wrong than right.
     """
     rows = sampled_texts(docs.where(F.col(quoted(text)).isNotNull()), lang, per_language, max_rows, id_column, text, max_chars)
-    return fit_languages(rows, dim, epochs, rate, seed)
+    return fit_languages(rows, dim, epochs, rate, seed, reject_below)
 
 
-def fit_languages(rows: list[tuple], dim: int = 16, epochs: int = 6, rate: float = 0.5, seed: int = 1) -> LanguageModel:
+def fit_languages(rows: list[tuple], dim: int = 16, epochs: int = 6, rate: float = 0.5, seed: int = 1, reject_below: float = 0.3) -> LanguageModel:
     """The numpy part of :func:`train_languages`, from pairs of language and text."""
     languages = tuple(sorted({r[0] for r in rows}))
     if not languages:
         return LanguageModel((), np.zeros((BUCKETS, 0), np.float32), np.zeros(0), 1.0, 0.0)
     letter, rng = letters(), np.random.default_rng(seed)
-    bags, label = [], []
+    bags, label, texts = [], [], []
     for name, t in rows:
         gram = np.concatenate([g for _, g, _ in subwords([t], letter)] or [np.zeros(0, np.int32)])
         if len(gram):
             bucket, n = np.unique(gram, return_counts=True)
             bags.append((bucket, (n / n.sum())[:, None]))
             label.append(languages.index(name))
+            texts.append(t)
     if not bags:
         return LanguageModel((), np.zeros((BUCKETS, 0), np.float32), np.zeros(0), 1.0, 0.0)
     held = [i for i in range(len(bags)) if i % 5 == 4]
@@ -179,15 +181,21 @@ def fit_languages(rows: list[tuple], dim: int = 16, epochs: int = 6, rate: float
             bias -= eta * 0.1 * g
             emb[bucket] -= eta * share * back * len(bucket) ** 0.5
     table = (emb @ weight).astype(np.float32)
-    check = held or used
-    z = np.array([(table[bags[i][0]] * bags[i][1]).sum(0) + bias for i in check])
-    y = np.array([label[i] for i in check])
+    # Calibration sees the texts left out and, since short texts are the doubtful ones, a few words of each.
+    pieces, y = [], []
+    for i in held or used:
+        words = texts[i].split()
+        for n in (0, 1, 2, 4, 8):
+            at = int(rng.integers(0, max(1, len(words) - n + 1)))
+            pieces.append(" ".join(words[at:at + n]) if n else texts[i])
+            y.append(label[i])
+    total, count = _sums(pieces, table, letter)
+    y = np.array(y)[count > 0]
+    z = (total[count > 0] / count[count > 0, None]) + bias
     grid = np.geomspace(0.05, 20, 60)
     loss = [-np.log(np.maximum(_softmax(z / t)[np.arange(len(y)), y], 1e-12)).mean() for t in grid]
     temperature = float(grid[int(np.argmin(loss))])
-    p = _softmax(z / temperature)
-    right = p.max(1)[p.argmax(1) == y]
-    return LanguageModel(languages, table, bias, temperature, float(min(0.5, np.quantile(right, 0.001))) if len(right) else 0.0)
+    return LanguageModel(languages, table, bias, temperature, reject_below)
 
 
 def predict_texts(texts: list, model: LanguageModel, letter: np.ndarray) -> list[tuple[str, float]]:
