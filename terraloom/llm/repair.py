@@ -37,8 +37,8 @@ from terraloom.llm.tokens import word_ids, word_vocabulary
 SHARD = 1 << 20
 ROUNDS = 5
 LEAST = 24  # occurrences that make a pair a rule
-_HASH_BITS = 18
-_LEFT, _RIGHT = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77)
+_HASH_BITS = 17  # tables that stay in a core's cache
+_MIX = 0x9E3779B97F4A7C15
 
 
 @dataclass
@@ -55,22 +55,33 @@ def compress(ids: np.ndarray, ends: np.ndarray, terminals: int, rounds: int = RO
     s, ends = ids.astype(np.uint32), ends.copy()
     rules: list[tuple[int, int]] = []
     most = (1 << 16) - terminals if terminals < 1 << 16 else (1 << 31) - terminals
-    for _ in range(rounds):
+    for k in range(rounds):
         if len(s) < 2 or len(rules) >= most:
             break
-        bucket = ((s[:-1] * _LEFT) ^ (s[1:] * _RIGHT)) >> np.uint32(32 - _HASH_BITS)
-        inside = ~ends[:-1]
-        frequent = np.bincount(bucket[inside], minlength=1 << _HASH_BITS) >= least
-        at = np.flatnonzero(frequent[bucket] & inside)
-        pair, where, n = np.unique((s[at].astype(np.uint64) << np.uint64(32)) | s[at + 1], return_inverse=True, return_counts=True)
-        chosen = _disjoint(pair, n, least, most - len(rules))
+        # A bucket stands for the pair at one of its places, nearly always its most frequent one; pairs
+        # that share its bucket are left for the next round, whose hash is another.
+        pair = s[:-1].astype(np.uint64)
+        pair <<= np.uint64(32)
+        pair |= s[1:]
+        bucket = ((pair * np.uint64(_MIX + 2 * k)) >> np.uint64(64 - _HASH_BITS)).view(np.int64)
+        inside = (np.bincount(bucket, minlength=1 << _HASH_BITS) >= least)[bucket]
+        inside &= ~ends[:-1]
+        at = np.flatnonzero(inside)
+        bucket, pair = bucket[at], pair[at]
+        place = np.zeros(1 << _HASH_BITS, np.int64)
+        place[bucket] = np.arange(len(at))
+        same = pair[place[bucket]] == pair
+        place[bucket] = at[place[bucket]]
+        at, bucket = at[same], bucket[same]
+        n = np.bincount(bucket, minlength=1 << _HASH_BITS)
+        some = np.flatnonzero(n >= least)
+        chosen = _disjoint(s[place[some]], s[place[some] + 1], n[some], most - len(rules))
         if not chosen:
             break
-        name = np.zeros(len(pair), np.uint32)
-        for k in chosen:
-            name[k] = terminals + len(rules)
-            rules.append((int(pair[k] >> np.uint64(32)), int(pair[k] & np.uint64(0xFFFFFFFF))))
-        put = name[where]
+        name = np.zeros(1 << _HASH_BITS, np.uint32)
+        name[some[chosen]] = np.arange(len(chosen), dtype=np.uint32) + np.uint32(terminals + len(rules))
+        rules += zip(s[place[some[chosen]]].tolist(), s[place[some[chosen]] + 1].tolist())
+        put = name[bucket]
         hit, put = at[put > 0], put[put > 0]
         s[hit] = put
         ends[hit] = ends[hit + 1]
@@ -81,12 +92,11 @@ def compress(ids: np.ndarray, ends: np.ndarray, terminals: int, rounds: int = RO
     return Grammar(terminals, made, expanded_lengths(made, terminals), s, ends)
 
 
-def _disjoint(pair: np.ndarray, n: np.ndarray, least: int, most: int) -> list[int]:
-    """Numbers of frequent pairs, most frequent first, no symbol of which is both a left and a right one."""
+def _disjoint(left: np.ndarray, right: np.ndarray, n: np.ndarray, most: int) -> list[int]:
+    """Numbers of pairs, most frequent first, no symbol of which is both a left and a right one."""
     order = np.argsort(-n, kind="stable")
-    order = order[n[order] >= least]
     lefts, rights, chosen = set(), set(), []
-    for k, a, b in zip(order.tolist(), (pair[order] >> np.uint64(32)).tolist(), (pair[order] & np.uint64(0xFFFFFFFF)).tolist()):
+    for k, a, b in zip(order.tolist(), left[order].tolist(), right[order].tolist()):
         if a != b and a not in rights and b not in lefts:
             lefts.add(a)
             rights.add(b)
@@ -116,6 +126,17 @@ def terminal_bytes(terminals: int) -> list[bytes]:
     return [raw[i:i + 4] for i in range(0, len(raw), 4)]
 
 
+def decode(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, plain: list[bytes]) -> np.ndarray:
+    """The ids of a run of symbols, looked up in one table of all expansions."""
+    n = len(plain)
+    table = np.concatenate([np.arange(n, dtype="<u4"), np.frombuffer(b"".join(expansions(rules, plain)[n:]), "<u4")])
+    size = np.concatenate([np.ones(n, np.int64), lengths.astype(np.int64)])
+    begin = np.cumsum(size) - size
+    each = size[symbols]
+    upto = np.cumsum(each)
+    return table[np.arange(upto[-1] if len(upto) else 0) + np.repeat(begin[symbols] - upto + each, each)]
+
+
 def decode_slice(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, terminals: int, start: int, stop: int) -> np.ndarray:
     """Ids ``start`` to ``stop`` of a document from its symbols, expanding only the symbols that reach in."""
     symbols = symbols.astype(np.int64)
@@ -200,7 +221,7 @@ def read_token_files(spark: SparkSession, path: str, wanted: tuple[int, int] | N
     if wanted:
         files = files.where((F.col("last") >= wanted[0]) & (F.col("first") <= wanted[1]))
     shards = files.join(F.broadcast(base), "part").select(
-        (F.col("base") + F.col("before")).alias("start"), "doc_ids", "known", "doc_tokens", "doc_symbols", "terminals", "rules", "symbols", "width")
+        (F.col("base") + F.col("before")).alias("start"), "doc_ids", "known", "doc_tokens", "terminals", "rules", "lengths", "symbols", "width")
 
     def run(batches):
         plain, size = [], -1
@@ -209,15 +230,14 @@ def read_token_files(spark: SparkSession, path: str, wanted: tuple[int, int] | N
                 if row["terminals"] != size:
                     size = row["terminals"]
                     plain = terminal_bytes(size)
-                table = expansions(np.frombuffer(row["rules"], "<u4").reshape(-1, 2), plain)
-                symbols = np.frombuffer(row["symbols"], f"<u{row['width']}").tolist()
-                known = np.frombuffer(row["known"], np.uint8).tolist()
+                rules, lengths = np.frombuffer(row["rules"], "<u4").reshape(-1, 2), np.frombuffer(row["lengths"], "<u8")
+                raw = decode(np.frombuffer(row["symbols"], f"<u{row['width']}"), rules, lengths, plain).tobytes()
                 start, at = row["start"], 0
-                for i, k, n, m in zip(np.frombuffer(row["doc_ids"], "<i8").tolist(), known,
-                                      np.frombuffer(row["doc_tokens"], "<u8").tolist(), np.frombuffer(row["doc_symbols"], "<u8").tolist()):
+                for i, k, n in zip(np.frombuffer(row["doc_ids"], "<i8").tolist(), np.frombuffer(row["known"], np.uint8).tolist(),
+                                   np.frombuffer(row["doc_tokens"], "<u8").tolist()):
                     if not wanted or k and wanted[0] <= i <= wanted[1]:
-                        yield i if k else None, start, n, b"".join([table[x] for x in symbols[at:at + m]])
-                    start, at = start + n, at + m
+                        yield i if k else None, start + at, n, raw[4 * at:4 * (at + n)]
+                    at += n
 
     return map_arrow(shards, run, "doc_id long, start long, n_tokens long, ids binary",
                      doc_id=pa.int64(), start=pa.int64(), n_tokens=pa.int64(), ids=pa.binary())
