@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from array import array
 
 import numpy as np
@@ -19,9 +20,9 @@ import regex
 from terraloom.llm.common import kept_in_worker
 
 _CACHED = 48  # longest part, in characters, whose ids are kept
-_KEPT = 1_000_000  # parts kept at once, and half as many words
+_KEPT = 300_000  # parts, and words, of a generation; two are kept
 # Characters whose lower case and composition are one character, whatever stands beside them.
-_PLAIN = regex.compile("[!-~¡-įı-ſ]*+").fullmatch
+_PLAIN = re.compile("[!-~¡-įı-ſ]*+").fullmatch
 
 
 def word_vocabulary() -> str:
@@ -37,29 +38,51 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class _Words(dict):
+class _Generations(dict):
+    """A bounded cache of two generations: what is used again moves to the newer one, the rest goes."""
+
+    def __init__(self):
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, key: str) -> bytes:
+        out = self.old.get(key)
+        if out is None:
+            out = self.make(key)
+        if len(key) <= _CACHED:
+            self[key] = out
+        return out
+
+    def turn(self) -> None:
+        if len(self) > _KEPT:
+            self.old = dict(self)
+            self.clear()
+
+
+class _Words(_Generations):
     def __init__(self, model):
+        super().__init__()
         self.tokenize, self.letters = model.tokenize, _byte_letters()
 
-    def __missing__(self, word: str) -> bytes:
+    def make(self, word: str) -> bytes:
         raw = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-        out = self[word] = array("I", [t.id for t in self.tokenize(raw)]).tobytes()
-        return out
+        return array("I", [t.id for t in self.tokenize(raw)]).tobytes()
 
 
-class _Parts(dict):
+class _Parts(_Generations):
     def __init__(self, tokenizer, find):
+        super().__init__()
         self.tokenizer, self.find = tokenizer, find
         self.words = _Words(tokenizer.model)
 
-    def __missing__(self, part: str) -> bytes:
-        if self.find and len(part) <= _CACHED and _PLAIN(part):
-            out = b"".join(map(self.words.__getitem__, self.find(part.lower())))
-        else:
-            out = np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(part) <= _CACHED:
-            self[part] = out
-        return out
+    def make(self, part: str) -> bytes:
+        if not (self.find and len(part) <= _CACHED and _PLAIN(part)):
+            return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
+        low, words = part.lower(), self.words
+        if low.isalpha():
+            return words[low]
+        if low[-1:] in (".", ",") and low[:-1].isalpha():
+            return words[low[:-1]] + words[low[-1]]
+        return b"".join(map(words.__getitem__, self.find(low)))
 
 
 class WordIds:
@@ -75,10 +98,8 @@ class WordIds:
 
     def encode(self, text: str | None) -> bytes:
         """The ids of a text; a null text has none."""
-        if len(self.known) > _KEPT:
-            self.known.clear()
-        if len(self.known.words) > _KEPT // 2:
-            self.known.words.clear()
+        self.known.turn()
+        self.known.words.turn()
         parts = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         return b"".join(map(self.known.__getitem__, parts))
 
