@@ -26,6 +26,7 @@ from terraloom.llm.common import map_arrow, packed_rows, quoted, text_of, unpack
 
 BUCKETS = 1 << 16
 SIZES = (2, 3, 4)
+_STEPS = 4000  # gradient steps at least
 _PIECE = 1 << 19  # characters featurised at once
 _MULTIPLIER = np.uint32(0x01000193)
 _MIX = np.uint32(0x9E3779B1)
@@ -167,6 +168,7 @@ def fit_languages(rows: list[tuple], dim: int = 16, epochs: int = 6, rate: float
     used = [i for i in range(len(bags)) if i % 5 != 4]
     emb = rng.normal(0, 1 / dim, (BUCKETS, dim))
     weight, bias = np.zeros((dim, len(languages))), np.zeros(len(languages))
+    epochs = max(epochs, -(-_STEPS // max(1, len(used))))  # few texts are gone through more often
     steps, done = epochs * len(used), 0
     for _ in range(epochs):
         for i in rng.permutation(used):
