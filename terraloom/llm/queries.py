@@ -64,7 +64,7 @@ def op5(spark, sf_dir):
 
 @query("op6_fuzzy_lines")
 def op6(spark, sf_dir):
-    return lines.line_groups(table(spark, sf_dir, "documents"))
+    return lines.line_groups(table(spark, sf_dir, "documents"), wide=True)
 
 
 @query("op7_projection_forest")

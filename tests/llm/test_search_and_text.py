@@ -10,7 +10,7 @@ from llm.helpers import EDGES, documents, prose
 from llm.test_copies import classes
 from pyspark.sql import functions as F
 
-from terraloom.llm import ann, lines, pages
+from terraloom.llm import ann, lines, pages, queries
 
 
 def brute(rows, asks, k):
@@ -157,6 +157,20 @@ def test_line_groups_match_brute_force(spark):
         assert clean[i] == "\n".join(x for n, x in enumerate((t or "").split("\n")) if want[(i, n)][:2] == (i, n))
 
 
+def test_op6_finds_most_one_word_edits(spark, tmp_path):
+    """Ten to 40 words with one replaced, all within the edit distance; 3 of 64 bits find about a fifth."""
+    rows = []
+    for k in range(200):
+        words = [f"{w.strip(',.')}{n % 7}" for n, w in enumerate(prose(k, 10 + 10 * (k % 4)).split())]
+        again = list(words)
+        again[k % len(words)] = "other"
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(again))]
+    documents(spark, rows).select("doc_id", "text").write.parquet(str(tmp_path / "documents.parquet"))
+    kept = {r.doc_id: r.keep_doc_id for r in queries.QUERIES["op6_fuzzy_lines"](spark, str(tmp_path)).collect()}
+    assert sum(kept[2 * k + 1] == 2 * k for k in range(200)) >= 160
+    assert all(kept[i] in (i, i - i % 2) for i in kept)
+
+
 def test_simhash_of_lines_of_every_length(spark):
     texts = [" ".join(f"{w}{k}" for k, w in enumerate(prose(n, n).lower().split())) for n in (1, 2, 3, 63, 64, 65, 254, 255, 256, 257, 40_000)]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", lines.word_hashes(F.col("t")).alias("h")).select("t", lines.simhash(F.col("h")).alias("s"))
