@@ -7,7 +7,8 @@ every node the composite density is computed, characters per tag weighted by how
 node's text lies in links, relative to the body. A node's sum is the density of its own text and
 of its children. The node with the largest sum is the core; the threshold is the least density on
 the path from the body to it. The core grows to the article or main element around it, or else to
-ancestors as dense as itself, as long as they reach the threshold. All text of the result is kept.
+ancestors as dense as itself. Beside it every other node that reaches the threshold is kept whole, and
+a node's own text where that alone reaches it; the core's ancestors count by their own text only.
 
 A null or empty page, and one without any text, give the empty text. Unclosed and misplaced tags
 are read as browsers do as far as text is concerned; a page cut off in the middle gives what is
@@ -56,7 +57,7 @@ _WORDS = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("name", "parent", "parts", "children", "chars", "tags", "link_chars", "link_tags", "own", "dropped", "main", "density", "sum")
+    __slots__ = ("name", "parent", "parts", "children", "chars", "tags", "link_chars", "link_tags", "own", "own_density", "dropped", "main", "density", "sum")
 
     def __init__(self, name: str, parent: Node | None, dropped: bool):
         self.name, self.parent, self.dropped = name, parent, dropped
@@ -193,11 +194,11 @@ def _nodes(root: Node) -> list[Node]:
     return out
 
 
-def core(root: Node) -> Node:
-    """The subtree that holds the main text."""
+def content(root: Node) -> tuple[Node, set[int], float]:
+    """The core, the ids of the nodes on the path from it to the root, and the threshold."""
     nodes = _nodes(root)
     for node in nodes:  # its own text counts as a child
-        node.sum = _composite(node.own, node.tags, node.link_chars, node.link_tags, 0.0)
+        node.sum = node.own_density = _composite(node.own, node.tags, node.link_chars, node.link_tags, 0.0)
     for node in reversed(nodes):
         node.chars += node.own
         if node.parent:
@@ -216,14 +217,15 @@ def core(root: Node) -> Node:
     while path[-1].parent:
         path.append(path[-1].parent)
     threshold = min(n.density for n in path)
-    around = [n for n in path if n.main and n.density >= threshold]
+    around = [n for n in path if n.main]
     if around:
-        return around[-1]
-    for n in path[1:-1]:
-        if n.density < best.density or n.density < threshold:
-            break
-        best = n
-    return best
+        best = around[-1]
+    else:
+        for n in path[1:]:
+            if n.density < best.density:
+                break
+            best = n
+    return best, {id(n) for n in path}, threshold
 
 
 def _composite(chars: int, tags: int, link_chars: int, link_tags: int, body_links: float) -> float:
@@ -235,19 +237,27 @@ def _composite(chars: int, tags: int, link_chars: int, link_tags: int, body_link
     return chars / tags * math.log1p(weight) / math.log1p(base)
 
 
-def text_of_node(node: Node) -> str:
-    """Text of a subtree: one line a block, white space inside a block turned into single blanks."""
+def text_of_content(root: Node) -> str:
+    """Text of what is kept: one line a block, white space inside a block turned into single blanks."""
+    best, path, threshold = content(root)
+
+    def opened(node: Node, within: bool) -> tuple:
+        whole = within or node is best or id(node) not in path and node.density > 0 and node.density >= threshold
+        return iter(node.parts), whole, whole or node.own_density > 0 and node.own_density >= threshold
+
     lines, run = [], []
-    stack: list = [iter(node.parts)]
+    stack: list = [opened(root, False)]
     while stack:
-        for part in stack[-1]:
+        parts, whole, own = stack[-1]
+        for part in parts:
             if isinstance(part, str):
-                run.append(part)
+                if own:
+                    run.append(part)
                 continue
             lines.append("".join(run))
             run = []
             if part is not None:
-                stack.append(iter(part.parts))
+                stack.append(opened(part, whole))
                 break
         else:
             stack.pop()
@@ -257,7 +267,7 @@ def text_of_node(node: Node) -> str:
 
 
 def main_text(html: str | None) -> str:
-    return text_of_node(core(parse(html))) if html else ""
+    return text_of_content(parse(html)) if html else ""
 
 
 def extract(pages: DataFrame, id_column: str = "page_id", html: str = "html", url: str = "url") -> DataFrame:

@@ -98,6 +98,15 @@ def test_main_text_of_pages(spark):
     assert pages.extract(df.limit(0)).collect() == []
 
 
+def test_dense_siblings_of_the_core_are_kept():
+    block = lambda name, n: "".join(f"<p>{name}{k} {'word ' * 20}</p>" for k in range(n))
+    links = "<ul>" + "".join(f"<li><a href=x>go {k}</a></li>" for k in range(6)) + "</ul>"
+    for page in ("<body><div>{}</div>{}<div>{}</div></body>", "<body><div id=page><section>{}</section>{}<section>{}</section></div></body>"):
+        text = pages.main_text(page.format(block("a", 5), links, block("b", 3)))
+        assert [line.split()[0] for line in text.split("\n")] == ["a0", "a1", "a2", "a3", "a4", "b0", "b1", "b2"]
+    assert "loose" in pages.main_text(f"<body><div>{block('a', 5)}</div>{'loose ' * 60}<div>{links}</div></body>")
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_random_markup_never_fails_and_is_read_whole(seed):
     rng = random.Random(seed)
