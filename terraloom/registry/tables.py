@@ -100,6 +100,37 @@ def _(spark, sf):
     return landed.groupBy("page", F.col("periode").alias("c")).agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query("landed_streams", """with ranked as (select o_custkey % 8 s, o_orderstatus c, row_number() over (partition by o_custkey % 8 order by o_orderkey) - 1 r,
+    count(*) over (partition by o_custkey % 8) // 100 * 100 whole from orders),
+  placed as (select case when s % 3 = 1 and r >= whole then s + 8 else s end stream, case when s % 3 = 1 and r >= whole then 0 else r // 100 end page, c from ranked)
+  select stream, page, c, count(*) as rows from placed group by all""")
+def _(spark, sf):
+    """Every order, in pages of 100 per stream. Two thirds of streams 0 to 7 have later pages behind their end.
+
+    Of these a third ends with a short page, a third with an empty one; the rest of the latter is a stream of its own.
+    """
+    held = Window.partitionBy("s")
+    ranked = table(spark, sf, "orders").withColumn("s", F.col("o_custkey") % 8).withColumns({
+        "r": F.row_number().over(held.orderBy("o_orderkey")) - 1, "n": F.count(F.lit(1)).over(held)})
+    whole = F.floor(F.col("n") / 100) * 100
+    rest = (F.col("s") % 3 == 1) & (F.col("r") >= whole)
+    record = F.struct(C.slice_id("o_custkey").alias("codi_territorial"), F.col("o_orderstatus").alias("periode"))
+    pages = ranked.groupBy(F.when(rest, F.col("s") + 8).otherwise(F.col("s")).alias("stream"),
+                           F.when(rest, 0).otherwise(F.floor(F.col("r") / 100)).alias("page")).agg(F.to_json(F.collect_list(record)).alias("value"))
+    ends = ranked.groupBy("s").agg(F.first("n").alias("n"))
+    empty = ends.filter("s % 3 = 1 or s % 3 = 0 and n % 100 = 0").select("s", F.floor(F.col("n") / 100).alias("page"), F.lit("[]").alias("value"))
+    stale = F.array_repeat(F.struct(F.lit("0").alias("codi_territorial"), F.lit("stale").alias("periode")), 100)
+    later = ends.filter("s % 3 < 2").select("s", (F.floor(F.col("n") / 100) + 1).alias("page"), F.to_json(stale).alias("value"))
+    path = shared_path(spark, "streams")
+    pages.union(empty).union(later).write.partitionBy("stream", "page").text(path)
+    found = None
+    for row in pages.select("stream").distinct().union(ends.filter("s % 3 = 1").select("s")).distinct().collect():
+        read = documents.read_pages(spark, f"{path}/stream={row.stream}", limit=100, number=r"page=(\d+)").select(
+            F.lit(row.stream).alias("stream"), "page", F.col("periode").alias("c"))
+        found = read if found is None else found.union(read)
+    return found.groupBy("stream", "page", "c").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query("region_tree", "select distinct cast(c_custkey as varchar) id from customer")
 def _(spark, sf):
     """Documents of a nation's customers, 500 to a document; a lone customer is a plain object."""

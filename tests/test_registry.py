@@ -47,3 +47,10 @@ def test_filters_and_columns_reach_the_scan(spark):
 def test_no_cross_joins(spark, name):
     text = plan(entry.queries()[name](spark, SF))
     assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_landed_streams_read_every_order_and_nothing_behind_the_end(spark):
+    for sf in (SF, SF.replace("0.001", "0.01")):
+        got = entry.queries()["landed_streams"](spark, sf).collect()
+        assert sum(r.rows for r in got) == spark.read.parquet(f"{sf}/orders.parquet").count()
+        assert all(r.c != "stale" for r in got) and max(r.page for r in got) >= 1
