@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraloom.llm import ann, bytebpe, exact, langid, lines, packing, pages, quality, repair, simhash
+from terraloom.llm import ann, bytebpe, exact, langid, lexical, lines, packing, pages, quality, repair, simhash, vectorfit, whitening
 from terraloom.llm.common import crc_bucket, quoted
 from terraloom.session import shared_path
 
@@ -90,6 +90,36 @@ def op10(spark, sf_dir):
         "doc_id", (crc_bucket(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+@query("op11_lexical_search", r"""
+with d as (select doc_id, row_number() over () as r,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as t
+  from documents where text is not null),
+s as (select cast(count(*) as bigint) as docs, cast(sum(len(t)) as bigint) as terms from d where len(t) > 0),
+p as (select r, term, cast(count(*) as bigint) as tf from (select r, unnest(t) as term from d) group by r, term),
+f as (select term, cast(floor(1000 * ln(cast(2 * any_value(docs) + 2 as double) / cast(2 * count(*) + 1 as double))) as bigint) as w from p, s group by term),
+m as (select doc_id, r, 100 - 25 + (25 * len(t) * docs) // terms as m from d, s where len(t) > 0),
+i as (select item_id, term, cast(count(*) as bigint) as c from (
+    select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from (select distinct item_id, text from benchmark)) group by item_id, term),
+scored as (select item_id, doc_id, r, cast(sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) as bigint) as score
+  from i join f using (term) join p using (term) join m using (r) group by item_id, doc_id, r),
+ranked as (select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as int) as rank, doc_id, score from scored where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= 20""")
+def op11(spark, sf_dir):
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_vector_best_fit")
+def op12(spark, sf_dir):
+    return vectorfit.pack_best_fit(table(spark, sf_dir, "documents")).select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+@query("op13_whitening")
+def op13(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 def language_model(docs: DataFrame) -> langid.LanguageModel:
     """Learned only from documents whose crc32 of the id's text modulo 4 is not 2."""
     return langid.train_languages(docs.where(crc_bucket(F.col(quoted("doc_id")), 4) != 2))

@@ -1,0 +1,81 @@
+"""Ids of whole texts under a byte-level vocabulary whose words carry the blank before them.
+
+The ids come from the tokenizers library. Such a vocabulary splits texts by a pattern that never
+takes a single blank between two other characters together with what stands before it, so a text
+may be cut in front of every such blank. A worker encodes each distinct part once, keeps a bounded
+number of them between its tasks, and joins their ids. A vocabulary that normalises or splits in
+another way, and a text that writes out one of its added tokens, go through the library whole.
+"""
+
+from __future__ import annotations
+
+import json
+import os
+import re
+
+import numpy as np
+
+from terraloom.llm.common import kept_in_worker
+
+_CACHED = 48  # longest part, in characters, whose ids are kept
+_KEPT = 300_000  # parts of a generation; two are kept
+_beside_blank = re.compile(r" \s|\s ").search
+_at_blanks = re.compile(r"(?<=\S) (?=\S)").split
+# A Latin word and one sign behind it: the pattern never joins the two.
+_word_and_sign = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ž]+)([.,;:!?])").fullmatch
+
+
+class _Parts(dict):
+    """Ids of parts as bytes: what is used again moves to the newer generation, the rest goes."""
+
+    def __init__(self, encode):
+        self.encode, self.old = encode, {}
+
+    def __missing__(self, part: str) -> bytes:
+        out = self.old.get(part)
+        if out is None:
+            two = _word_and_sign(part)
+            out = self[two[1]] + self[two[2]] if two else self.encode(part)
+        if len(part) <= _CACHED:
+            self[part] = out
+        return out
+
+    def turn(self) -> None:
+        if len(self) > _KEPT:
+            self.old = dict(self)
+            self.clear()
+
+
+class SpacedIds:
+    """Texts to their ids as little-endian unsigned 32-bit integers."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        split = spec["pre_tokenizer"] or {}
+        self.cuts = spec["normalizer"] is None and split.get("type") == "ByteLevel" and split["use_regex"] and not split["add_prefix_space"]
+        self.added = [t["content"] for t in spec["added_tokens"]]
+        self.known = _Parts(self.whole)
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def encode(self, text: str | None) -> bytes:
+        """The ids of a text; a null text has none."""
+        if not text:
+            return b""
+        if not self.cuts or any(t in text for t in self.added):
+            return self.whole(text)
+        self.known.turn()
+        first, *rest = _at_blanks(text) if _beside_blank(text) or text[0] == " " or text[-1] == " " else text.split(" ")
+        known = self.known
+        return known[first] + b"".join([known[" " + part] for part in rest])
+
+
+def spaced_ids(path: str) -> SpacedIds:
+    """The worker's encoder, with what it has encoded so far."""
+    return kept_in_worker(("spaced-ids", path), lambda: SpacedIds(path))
