@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terraloom.llm.common import keyed, map_arrow
-from terraloom.llm.spaced import spaced_ids
+from terraloom.llm.bytelevel import byte_level_ids
 from terraloom.session import materialise
 
 BUFFER = 8192  # pieces packed at once
@@ -128,7 +128,7 @@ def pack_best_fit(docs: DataFrame, path: str | None = None, id_column: str = "do
                 offset += len(ids) // 4
 
     def first_pass(batches):
-        encoder, numbered, held, size = spaced_ids(path), Numbered(0), [], 0
+        encoder, numbered, held, size = byte_level_ids(path), Numbered(0), [], 0
         for batch in batches:
             for doc, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for piece in cut_document(doc, encoder.encode(t) + end, window):

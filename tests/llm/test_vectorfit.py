@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections import defaultdict
 
 import numpy as np
 import pytest
 
 from terraloom.llm import vectorfit
-from terraloom.llm.spaced import SpacedIds
+from terraloom.llm.bytelevel import ByteLevelIds
 
 from .helpers import EDGES, documents, prose
 
@@ -19,18 +20,24 @@ def path():
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def library(path, text):
+@functools.cache
+def tokenizer(path):
     from tokenizers import Tokenizer
-    return Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids
+    return Tokenizer.from_file(path)
+
+
+def library(path, text):
+    return tokenizer(path).encode(text or "", add_special_tokens=False).ids
 
 
 TEXTS = ["", " ", "  two  blanks ", "a\n b\n\nc\t d \r\n", "it's we'll don't 'quoted'", "x, y. z; word,word end.", "ünï 日本語 \U0001f600 ½ x²",
-         "a<|endoftext|> b", "\x1c \x1d a\x85 b\xa0c", " lead", "trail ", "é combining ö.", "12 345, 6.7", prose(1, 300), "ß" * 60 + " " + "y" * 70]
+         "a<|endoftext|> b", "\x1c \x1d a\x85 b\xa0c", " lead", "trail ", "one.\nTwo\nthree,\n\nfour\n", "\n", "a$$$ b'%% c_d __ e'll ('f') g's", "Été, über; naïve...", "\nx \ny\n", "é combining ö.", "12 345, 6.7", prose(1, 300), "ß" * 60 + " " + "y" * 70]
 
 
 def test_ids_equal_the_library(path):
-    encoder = SpacedIds(path)
-    for text in [*TEXTS, *TEXTS]:
+    encoder = ByteLevelIds(path)
+    assert encoder.ranked
+    for text in [*TEXTS, " " * 30_000 + "x", "\n" * 30_000, "y" * 30_000, prose(2, 20_000)]:
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library(path, text), text
     assert encoder.encode(None) == b""
 
@@ -41,7 +48,8 @@ def test_another_vocabulary_goes_through_the_library(tmp_path):
     one.normalizer = normalizers.Lowercase()
     one.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=True)
     one.save(str(tmp_path / "t.json"))
-    encoder = SpacedIds(str(tmp_path / "t.json"))
+    encoder = ByteLevelIds(str(tmp_path / "t.json"))
+    assert not encoder.ranked
     assert np.frombuffer(encoder.encode("AB a b"), "<u4").tolist() == one.encode("AB a b", add_special_tokens=False).ids
 
 
