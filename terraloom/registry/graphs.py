@@ -498,7 +498,7 @@ def _(spark, sf):
     """Test-year predictions of rent with residuals."""
     split = _model_rows(spark, sf)
     features = [c for c in X.feature_columns(split) if c != "municipality_id"]
-    model = R.train_gbt(split, features, rounds=5, rate=0.3, patience=3, depth=3)
+    model = R.train_gbt(split, features, rounds=100, rate=0.1, patience=20)
     scored, _ = R.evaluate(model, split)
     return scored.select("municipality_id", "any", "avg_monthly_rent", "prediction", "residual")
 
@@ -506,5 +506,5 @@ def _(spark, sf):
 @query("top_importances")
 def _(spark, sf):
     split = _model_rows(spark, sf)
-    model = R.train_gbt(split, [c for c in X.feature_columns(split)], rounds=3, rate=0.3, patience=3, depth=3)
+    model = R.train_gbt(split, [c for c in X.feature_columns(split)], rounds=30, rate=0.1, patience=10)
     return R.top_importances(spark, model, 5)
