@@ -18,7 +18,8 @@ from terraloom import vocab
 from terraloom.functions import scoring
 from terraloom.functions.columns import lookup
 from terraloom.operators.aggregate import metrics_wide
-from terraloom.session import cut_lineage
+from terraloom.operators.walk import Walk, draws
+from terraloom.session import cut_lineage, remove_table
 
 TRIPLE = ["s", "p", "o"]
 _BROADCAST_BYTES = 64 * 1024 * 1024
@@ -157,11 +158,9 @@ def _vectors(params: DataFrame, kind: str, key: str, out: str, rows: int, width:
 
 
 def negative_samples(triples: DataFrame, n_entities: int, epoch: int, seed: int = 42) -> DataFrame:
-    """Each ``h, r, t`` with a hashed entity ``n`` and the side it replaces, ``corrupt_head``."""
-    draw = F.xxhash64("h", "r", "t", F.lit(seed), F.lit(epoch))
-    return triples.withColumns({
-        "n": F.pmod(draw, F.lit(n_entities)).cast("long"),
-        "corrupt_head": F.pmod(F.shiftright(draw, 40), F.lit(2)) == 0})
+    """Each ``h, r, t`` with an entity ``n`` drawn by MD5 and the side it replaces, ``corrupt_head``."""
+    return draws(triples, seed, epoch).withColumns({
+        "n": F.shiftright("draw", 1) % F.lit(n_entities), "corrupt_head": F.col("draw") % 2 == 0}).drop("draw")
 
 
 _SLICE_NUMBERS = 4_000_000  # numbers of second relation parameters held at a time
@@ -277,38 +276,49 @@ def train_epoch(params: DataFrame, triples: DataFrame, model: str, dim: int, epo
 
 
 def train_kge(train: DataFrame, valid: DataFrame | None = None, model: str = "TransE", dim: int = 64,
-              epochs: int = 300, *, seed: int = 42, margin: float = 1.0, rate: float = 0.1, batches: int = 1,
-              batch_size: int | None = None, check_every: int = 5, patience: int = 3) -> tuple[DataFrame, list[dict]]:
+              epochs: int = 300, *, seed: int = 42, margin: float = 1.0, rate: float = 0.1, batches: int | None = None,
+              batch_size: int = 64, buckets: int | None = None, check_every: int = 5, patience: int = 3) -> tuple[DataFrame, list[dict]]:
     """Train embeddings of ``s, p, o`` triples; returns parameters and the history per epoch.
 
     Every ``check_every`` epochs the validation triples are ranked, and training stops after
     ``patience`` checks without a better mean reciprocal rank; the best parameters are returned.
-    An epoch makes one step for each of ``batches`` parts of the triples, or for each part of
-    about ``batch_size`` triples.
+    An epoch makes a step for every ``batch_size`` triples, inside tasks that hold two buckets of
+    entities (see :mod:`terraloom.operators.walk`). With ``batches`` it makes as many steps in all,
+    each a mean over its part of the triples, by joins and one aggregate.
     """
     mapped, entities, relations = index_triples(train)
     mapped = cut_lineage(mapped)
-    if batch_size:
-        batches = max(1, math.ceil(mapped.count() / batch_size))
     sizes = {"e": entities.count(), "r": relations.count()}
-    params = cut_lineage(init_parameters(entities, relations, model, dim, seed))
+    names = cut_lineage(entities.select(F.lit("e").alias("kind"), "id", "label").unionByName(
+        relations.select(F.explode(F.array(F.lit("r"), F.lit("x"))).alias("kind"), "id", "label")))
+    start = cut_lineage(init_parameters(entities, relations, model, dim, seed))
+    walk = None if batches else Walk(mapped, start, model, dim, sizes, seed=seed, margin=margin, rate=rate, batch_size=batch_size, buckets=buckets)
+    params = start
+    named = lambda p: p if batches else p.join(names, ["kind", "id"]).select("kind", "id", "label", "vec")
     history, best, best_score, waited = [], None, -1.0, 0
     for epoch in range(epochs):
-        params, loss = train_epoch(params, mapped, model, dim, epoch, sizes, seed=seed, margin=margin,
-                                   rate=rate, batches=batches)
+        if walk:
+            loss = walk.epoch(epoch, keep=best)
+            params = walk.params
+        else:
+            params, loss = train_epoch(params, mapped, model, dim, epoch, sizes, seed=seed, margin=margin, rate=rate, batches=batches)
         history.append({"epoch": epoch, "loss": loss})
         if valid is not None and (epoch + 1) % check_every == 0:
             known = train.select(*TRIPLE).unionByName(valid.select(*TRIPLE))
-            ranks = rank_triples(params, valid, known, model)
+            ranks = rank_triples(named(params), valid, known, model)
             mrr = ranks.agg(F.avg(1 / F.col("rank"))).first()[0] or 0.0
             history[-1]["mrr"] = mrr
             if mrr > best_score:
+                if walk and best is not None:
+                    remove_table(best)
                 best, best_score, waited = params, mrr, 0
             else:
                 waited += 1
                 if waited >= patience:
                     break
-    return (params if best is None else best), history
+    if walk:
+        walk.close()
+    return named(params if best is None else best), history
 
 
 # --- ranking ------------------------------------------------------------------------------------

@@ -68,3 +68,15 @@ def materialise(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> D
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def remove_table(df: DataFrame) -> None:
+    """Delete a table that :func:`materialise` wrote, once nothing reads it any more; other files stay."""
+    spark = df.sparkSession
+    home = ensure_checkpoint_dir(spark).rstrip("/")
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        where = path.toUri().getPath()
+        if f"{spark._jvm.org.apache.hadoop.fs.Path(home).toUri().getPath()}/" in where:
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
