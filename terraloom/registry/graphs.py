@@ -481,8 +481,8 @@ def _(spark, sf):
 
 @query("train_embeddings")
 def _(spark, sf):
-    """Entity vectors of the link graph after two epochs."""
-    params, _ = E.train_kge(_links(spark, sf), None, "TransE", 8, epochs=2)
+    """Entity vectors of the link graph after five epochs of steps of 64."""
+    params, _ = E.train_kge(_links(spark, sf), None, "TransE", 64, epochs=5)
     return params.filter("kind = 'e'").select("label", F.explode(F.transform("vec", lambda v: F.round(v, 4))).alias("value"))
 
 

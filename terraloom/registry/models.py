@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from terraloom.operators import boosting as T
+from terraloom.operators import embeddings as E
 from terraloom.operators import regression as R
 from terraloom.operators.features import Scaler
+from terraloom.registry import graphs as G
 from terraloom.registry.base import query, round6
 from terraloom.registry.bindings import sql
 from terraloom.registry.tables import municipal, rounded
@@ -104,3 +106,79 @@ def _(spark, sf):
     """Gains of the one-split model by feature."""
     _, model = _stump(spark, sf)
     return rounded(R.top_importances(spark, model, 4), "importance")
+
+
+# --- embeddings: scores of all models, one whole step -----------------------------------------------------
+
+def _sum(term: str, last: int = 64) -> str:
+    return f"list_sum([{term} for i in range(1, {last + 1})])"
+
+
+def _total(term: str, last: int) -> str:
+    return f"list_sum([{term} for j in range(1, {last + 1})])"
+
+
+_ENDS = "from links l join embeddings a on a.vec_id=l.h join embeddings b on b.vec_id=l.t join rels r on r.p=l.p"
+_H, _T = "a.embedding[{0}]::double", "b.embedding[{0}]::double"
+_HI, _TI = _H.format("i"), _T.format("i")
+_FAR_H, _FAR_T = _H.format("i+32"), _T.format("i+32")
+_TURNED = (f"({_HI}*cos(r.vec[i])-{_FAR_H}*sin(r.vec[i])-{_TI})", f"({_HI}*sin(r.vec[i])+{_FAR_H}*cos(r.vec[i])-{_FAR_T})")
+_MATRIX = _total("r.vec[(i-1)*8+j]*({}-{})".format(_H.format("j"), _T.format("j")), 8)
+_ALONG = _total("r.vec[j]*({}-{})".format(_H.format("j"), _T.format("j")), 64)
+#: Model -> entity, relation and second relation vectors as lengths, and the score in SQL over given vectors.
+_SCORES = {
+    "TransH": (64, 64, 64, f"-sqrt({_sum(f'({_HI}-{_TI}-{_ALONG}*r.vec[i]+r.vec[i])**2')})"),
+    "TransR": (8, 8, 64, f"-sqrt({_sum(f'({_MATRIX}+r.vec[i])**2', 8)})"),
+    "RotatE": (64, 32, 0, f"-sqrt({_sum(f'{_TURNED[0]}**2+{_TURNED[1]}**2', 32)})"),
+    "ComplEx": (64, 64, 0, _sum(f"({_HI}*r.vec[i]-{_FAR_H}*r.vec[i+32])*{_TI}+({_FAR_H}*r.vec[i]+{_HI}*r.vec[i+32])*{_FAR_T}", 32)),
+}
+
+
+def _score_query(model: str) -> None:
+    entity, relation, extra, score = _SCORES[model]
+    @query(f"score_{model.lower()}", sql(f"select h, l.p, t, round({score}, 6) score {_ENDS}", links=G._LINKS, rels=G._RELS))
+    def _(spark, sf):
+        cut = lambda c, n: F.slice(c, 1, n)
+        return G._scored(spark, sf, lambda df: E.score_triples(
+            df.select("s", "p", "o", cut("hv", entity).alias("hv"), cut("tv", entity).alias("tv"), cut("rv", relation).alias("rv"), F.col("rv").alias("xv")),
+            model, x="xv" if extra else None))
+
+
+for _model in _SCORES:
+    _score_query(_model)
+
+_STEP = {
+    "links": "select h, case p when 'A' then 0 when 'N' then 1 else 2 end r, t from (" + G._LINKS + ")",
+    "rels": "select case p when 'A' then 0 when 'N' then 1 else 2 end r, vec from (" + G._RELS + ")",
+    "ids": "select vec_id, row_number() over (order by vec_id) - 1 i, [x::double for x in embedding] v from embeddings",
+    "named": "select a.i h, l.r, b.i t, cast('0x' || left(md5(concat_ws('|', a.i, l.r, b.i, 42, 0)), 13) as bigint) d from links l join ids a on a.vec_id=l.h join ids b on b.vec_id=l.t",
+    "drawn": "select h, r, t, d % 2 = 0 head, (d >> 1) % (select count(*) from ids) n from named",
+    "pairs": "select *, case when head then n else h end h2, case when head then t else n end t2 from drawn",
+    "gaps": """select q.*, [x[1]+x[2]-x[3] for x in list_zip(a.v, rels.vec, b.v)] g, [x[1]+x[2]-x[3] for x in list_zip(c.v, rels.vec, e.v)] g2 from pairs q
+      join rels using (r) join ids a on a.i=q.h join ids b on b.i=q.t join ids c on c.i=q.h2 join ids e on e.i=q.t2""",
+    "active": """select h, r, t, h2, t2, [x/n1 for x in g] u, [x/n2 for x in g2] w from (select *, sqrt(list_sum([x*x for x in g])) n1, sqrt(list_sum([x*x for x in g2])) n2 from gaps)
+      where 1 + n1 - n2 > 0""",
+    "moves": """select 'e' kind, h id, u m from active union all select 'e', t, [-x for x in u] from active union all select 'e', h2, [-x for x in w] from active
+      union all select 'e', t2, w from active union all select 'r', r, [x[1]-x[2] for x in list_zip(u, w)] from active""",
+    "summed": "select kind, id, j, sum(m[j]) g from moves cross join (select unnest(range(1, 65)) j) group by kind, id, j",
+    "old": "select 'e' kind, i id, j, v[j] x from ids cross join (select unnest(range(1, 65)) j) union all select 'r', r, j, vec[j] from rels cross join (select unnest(range(1, 65)) j)",
+    "lengths": "select kind, id, sqrt(sum(g*g)) len from summed group by kind, id",
+    "moved": "select kind, id, j, x - coalesce(g * 0.1 / greatest(1.0, len), 0.0) x from old left join summed using (kind, id, j) left join lengths using (kind, id)",
+    "sized": "select kind, id, sqrt(sum(x*x)) size from moved where kind='e' group by kind, id",
+}
+
+
+@query("training_step", sql("select kind, id, j, round(x / coalesce(size, 1.0), 6) \"value\" from moved left join sized using (kind, id)", **_STEP))
+def _(spark, sf):
+    """All vectors after one step over all links, from the given vectors, with negatives drawn by MD5."""
+    params = G._params(spark, sf)
+    ids = E.dense_ids(params.where("kind = 'e'"), "id", "i")
+    relation = F.when(F.col("p") == "A", 0).when(F.col("p") == "N", 1).otherwise(2).cast("long")
+    entities = params.where("kind = 'e'").join(ids, "id").select("kind", F.col("i").alias("id"), "label", "vec")
+    relations = params.where("kind = 'r'").withColumn("p", F.col("label")).select("kind", relation.alias("id"), "label", "vec")
+    key = lambda name, out: ids.select(F.col("id").cast("string").alias(name), F.col("i").alias(out))
+    triples = G._vector_links(spark, sf).join(key("s", "h"), "s").join(key("o", "t"), "o").select("h", relation.alias("r"), "t")
+    given = materialise(entities.unionByName(relations), "given")
+    sizes = {"e": entities.count(), "r": 3}
+    out, _ = E.train_epoch(given, materialise(triples, "triples"), "TransE", 64, 0, sizes)
+    return out.select("kind", "id", F.posexplode("vec").alias("j", "value")).select("kind", "id", (F.col("j") + 1).cast("long").alias("j"), round6("value").alias("value"))
