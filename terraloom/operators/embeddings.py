@@ -7,6 +7,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,7 @@ from terraloom import vocab
 from terraloom.functions import scoring
 from terraloom.functions.columns import lookup
 from terraloom.operators.aggregate import metrics_wide
+from terraloom.operators.ranking import count_better
 from terraloom.operators.walk import Walk, draws
 from terraloom.session import cut_lineage, remove_table
 
@@ -326,41 +328,117 @@ def train_kge(train: DataFrame, valid: DataFrame | None = None, model: str = "Tr
 _BLOCK_ROWS = 16_384
 
 
-def _rank_block(model: str, has_extra: bool):
-    """Counts of better and equal candidates among one block of entities, per target."""
-    def run(queries: pd.DataFrame, entities: pd.DataFrame) -> pd.DataFrame:
-        out = {"target": [], "better": [], "equal": []}
-        if len(queries) and len(entities):
-            block, ids = _stack(entities["vec"]), entities["id"].to_numpy()
-            for row in queries.itertuples(index=False):
-                anchor, r = np.array(row.av, dtype=float)[None, :], np.array(row.rv, dtype=float)[None, :]
-                x = np.array(row.xv, dtype=float)[None, :] if has_extra else None
-                scores = (scoring.score(model, anchor, r, block, x) if row.side == "tail"
-                          else scoring.score(model, block, r, anchor, x))
-                if row.known is not None and len(row.known):
-                    scores = scores[~np.isin(ids, np.asarray(row.known))]
-                scores = np.sort(scores)
-                mine = np.array(row.scores, dtype=float)
-                above = len(scores) - np.searchsorted(scores, mine, side="right")
-                equal = len(scores) - np.searchsorted(scores, mine, side="left") - above
-                out["target"] += list(row.targets)
-                out["better"] += above.tolist()
-                out["equal"] += equal.tolist()
-        return pd.DataFrame(out).astype({"target": "int64", "better": "int64", "equal": "int64"})
+_RANK_ROWS = "block int, batch int, kind int, q long, known array<long>, p0 binary, p1 binary, p2 binary, p3 binary, p4 binary, p5 binary, p6 binary, p7 binary, p8 binary"
+_RANK_ARROW = pa.schema([("block", pa.int32()), ("batch", pa.int32()), ("kind", pa.int32()), ("q", pa.int64()), ("known", pa.list_(pa.int64())),
+                         *[(f"p{i}", pa.binary()) for i in range(9)]])
+
+
+def _packed_row(kind: int, number: int, *parts: np.ndarray) -> pa.RecordBatch:
+    """A packed block of entities (kind 0) or batch of queries (kind 1), its other number left open."""
+    row = {"block": number if kind == 0 else None, "batch": number if kind else None, "kind": kind, **{f"p{i}": p.tobytes() for i, p in enumerate(parts)}}
+    return pa.RecordBatch.from_pylist([row], schema=_RANK_ARROW)
+
+
+def _by_number(batches, numbers: int):
+    """Rows of an Arrow stream sorted by a number, as one table per number."""
+    held, now = [], None
+    for batch in batches:
+        of = batch.column(numbers).to_numpy(zero_copy_only=False)
+        bounds = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1).tolist(), len(of)]
+        for a, b in zip(bounds, bounds[1:]):
+            if a == b:
+                continue
+            if held and now != of[a]:
+                yield int(now), pa.Table.from_batches(held)
+                held = []
+            now = of[a]
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield int(now), pa.Table.from_batches(held)
+
+
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    return np.array(column.combine_chunks().flatten().to_numpy(zero_copy_only=False), float).reshape(len(column), -1)
+
+
+def _pack_entities(batches):
+    for number, rows in _by_number(batches, 0):
+        ids = rows.column(1).to_numpy()
+        order = np.argsort(ids)
+        yield _packed_row(0, number, ids[order], _matrix(rows.column(2))[order])
+
+
+def _pack_queries(has_extra: bool):
+    """Rows ``batch, kind, q, side, p, vec, xv, targets, scores``: first a batch's relations, once each, then its queries."""
+    def run(batches):
+        for number, rows in _by_number(batches, 0):
+            kind = rows.column(1).to_numpy()
+            rel, ask = rows.filter(pa.array(kind == 0)), rows.filter(pa.array(kind == 1))
+            if not len(rel) or not len(ask):
+                continue
+            names = rel.column(4).to_pylist()
+            place = {n: i for i, n in enumerate(names)}
+            lists = [ask.column(i).combine_chunks() for i in (7, 8)]
+            yield _packed_row(1, number, ask.column(2).to_numpy(), np.array([s == "tail" for s in ask.column(3).to_pylist()]), np.array([place[p] for p in ask.column(4).to_pylist()]),
+                              _matrix(ask.column(5)), _matrix(rel.column(5)), _matrix(rel.column(6)) if has_extra else np.zeros(0),
+                              np.diff(lists[0].offsets.to_numpy()).astype(np.int64), lists[0].flatten().to_numpy(), lists[1].flatten().to_numpy())
+    return run
+
+
+def _rank_blocks(model: str, has_extra: bool):
+    """Counts of better and equal candidates per target, of each block of entities with each batch of queries."""
+    def compare(entities, queries, known):
+        ids = np.frombuffer(entities[0], np.int64)
+        q, tail, rel = np.frombuffer(queries[0], np.int64), np.frombuffer(queries[1], bool), np.frombuffer(queries[2], np.int64)
+        anchors = np.frombuffer(queries[3], float).reshape(len(q), -1)
+        block = np.frombuffer(entities[1], float).reshape(len(ids), -1)
+        relations = np.frombuffer(queries[4], float).reshape(len(set(rel.tolist())), -1)
+        extras = np.frombuffer(queries[5], float).reshape(len(relations), -1) if has_extra else None
+        counts, targets, own = np.frombuffer(queries[6], np.int64), np.frombuffer(queries[7], np.int64), np.frombuffer(queries[8], float)
+        of = np.repeat(np.arange(len(q)), counts)
+        left_out = [known.get(i, _NOTHING) for i in q.tolist()]
+        stack = rel * 2 + tail
+        for s in np.unique(stack).tolist():
+            mine = np.flatnonzero(stack == s)
+            wanted = np.flatnonzero(np.isin(of, mine))
+            better, equal = count_better(model, "tail" if s % 2 else "head", anchors[mine], relations[s // 2], extras[s // 2] if has_extra else None, block,
+                                         [np.searchsorted(ids, left_out[i]) for i in mine.tolist()], np.searchsorted(mine, of[wanted]), own[wanted])
+            yield pa.RecordBatch.from_arrays([pa.array(targets[wanted]), pa.array(better), pa.array(equal)], ["target", "better", "equal"])
+
+    def run(batches):
+        now, entities, queries, known = None, None, None, {}
+        for batch in batches:
+            for i in range(batch.num_rows):
+                number = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+                if number != now:
+                    if entities and queries:
+                        yield from compare(entities, queries, known)
+                    now, entities, queries, known = number, None, None, {}
+                kind = batch.column(2)[i].as_py()
+                if kind == 2:
+                    known[batch.column(3)[i].as_py()] = np.array(batch.column(4)[i].as_py(), np.int64)
+                else:
+                    parts = [batch.column(5 + j)[i].as_py() for j in range(9)]
+                    entities, queries = (parts, queries) if kind == 0 else (entities, parts)
+        if entities and queries:
+            yield from compare(entities, queries, known)
     return run
 
 
+_NOTHING = np.array([], np.int64)
+
+
 def rank_triples(params: DataFrame, test: DataFrame, known: DataFrame, model: str,
                  block_rows: int = _BLOCK_ROWS, target_rows: int = 512, query_rows: int = 8192) -> DataFrame:
     """Filtered realistic ranks as ``s, p, o, side, rank``.
 
     Each test triple is ranked against all entities in head and in tail position; candidates
-    that make a known triple are left out, ties count half. Entities are packed into blocks,
-    test triples with the same query (anchor, relation, side) into lists of at most about
-    ``target_rows``, and known answers into lists per query and block. A batch of about
-    ``query_rows`` queries meets each block once, as one bounded group: pairs of test triples
-    and entities exist only inside numpy, also for a relation that holds most triples. Triples
-    whose entities or relation have no vector are not ranked.
+    that make a known triple are left out, ties count half. Entities are packed into blocks, a
+    binary row each. Test triples with the same query (anchor, relation, side) make lists of at most
+    about ``target_rows``, and about ``query_rows`` of these a packed batch, which holds each of its
+    relations once. Every batch meets every block, and known answers join them block by block; pairs
+    of test triples and entities exist only inside numpy. Triples whose entities or relation have no
+    vector are not ranked.
     """
     has_extra = model in ("TransH", "TransR")
     ent = params.filter(F.col("kind") == "e").select("id", "label", "vec")
@@ -368,6 +446,7 @@ def rank_triples(params: DataFrame, test: DataFrame, known: DataFrame, model: st
     block = lambda c: F.pmod(F.xxhash64(c), F.lit(n_blocks)).cast("int")
     rel = params.filter(F.col("kind") == "r").select(F.col("label").alias("p"), F.col("vec").alias("rv"))
     extra = params.filter(F.col("kind") == "x").select(F.col("label").alias("p"), F.col("vec").alias("xv"))
+    relations = rel.join(extra, "p") if has_extra else rel.withColumn("xv", F.lit(None).cast("array<double>"))
 
     def sides(df):
         """Both readings of a triple: the anchor that is given and the answer that is sought."""
@@ -375,39 +454,42 @@ def rank_triples(params: DataFrame, test: DataFrame, known: DataFrame, model: st
             "anchor": F.when(F.col("side") == "tail", F.col("s")).otherwise(F.col("o")),
             "answer": F.when(F.col("side") == "tail", F.col("o")).otherwise(F.col("s"))})
 
-    wanted = sides(test.select(*TRIPLE).distinct())
     vec = lambda key, out: ent.select(F.col("label").alias(key), F.col("vec").alias(out))
-    scored = wanted.join(vec("anchor", "av"), "anchor").join(vec("answer", "wv"), "answer").join(rel, "p")
-    if has_extra:
-        scored = scored.join(extra, "p")
-    head = F.col("side") == "head"
-    scored = scored.withColumns({"_h": F.when(head, F.col("wv")).otherwise(F.col("av")),
-                                 "_t": F.when(head, F.col("av")).otherwise(F.col("wv"))})
-    scored = score_triples(scored, model, "_h", "rv", "_t", "xv" if has_extra else None, "score")
+    # One score serves both sides of a triple.
+    scored = score_triples(test.select(*TRIPLE).distinct().join(vec("s", "_h"), "s").join(vec("o", "_t"), "o").join(relations, "p"),
+                           model, "_h", "rv", "_t", "xv" if has_extra else None, "score").select(*TRIPLE, "score")
     # The number of a target only has to be stable, so the scored targets are materialised.
-    targets = cut_lineage(scored.select(*TRIPLE, "side", "anchor", "score")).withColumn(
-        "target", F.monotonically_increasing_id())
+    targets = cut_lineage(scored.select(
+        *TRIPLE, "score", F.explode(F.array(F.lit("head"), F.lit("tail"))).alias("side")).withColumn(
+        "anchor", F.when(F.col("side") == "tail", F.col("s")).otherwise(F.col("o")))).withColumn("target", F.monotonically_increasing_id())
     query = ["side", "anchor", "p"]
     sizes = targets.groupBy(*query).agg(F.count(F.lit(1)).alias("_n"))
-    lists = (targets.join(sizes, query)
-             .withColumn("_part", F.pmod(F.xxhash64("target"), F.ceil(F.col("_n") / F.lit(target_rows))))
-             .groupBy(*query, "_part")
-             .agg(F.collect_list("target").alias("targets"), F.collect_list("score").alias("scores")))
-    lists = cut_lineage(lists)
+    lists = cut_lineage(
+        targets.join(sizes, query)
+        .withColumn("_part", F.pmod(F.xxhash64("target"), F.ceil(F.col("_n") / F.lit(target_rows))))
+        .groupBy(*query, "_part")
+        .agg(F.collect_list("target").alias("targets"), F.collect_list("score").alias("scores"))).withColumn("q", F.monotonically_increasing_id())
     n_batches = max(1, math.ceil(lists.count() / query_rows))
-    queries = lists.join(vec("anchor", "av"), "anchor").join(rel, "p")
-    queries = queries.join(extra, "p") if has_extra else queries.withColumn("xv", F.array().cast("array<double>"))
+    batch = F.pmod(F.xxhash64("q"), F.lit(n_batches)).cast("int")
+    numbered = lists.withColumn("batch", batch)
+    none = lambda kind: F.lit(None).cast(kind)
+    asked = numbered.join(vec("anchor", "vec"), "anchor").select(
+        "batch", F.lit(1).alias("kind"), "q", "side", "p", "vec", none("array<double>").alias("xv"), "targets", "scores")
+    used = numbered.select("batch", "p").distinct().join(relations, "p").select(
+        "batch", F.lit(0).alias("kind"), none("long").alias("q"), none("string").alias("side"), "p", F.col("rv").alias("vec"), "xv",
+        none("array<long>").alias("targets"), none("array<double>").alias("scores"))
+    stacked = used.unionByName(asked).repartition(n_batches, "batch").sortWithinPartitions("batch", "kind").mapInArrow(_pack_queries(has_extra), _RANK_ROWS)
+    packed = ent.select(block("id").alias("block"), "id", "vec").repartition(n_blocks, "block").sortWithinPartitions("block").mapInArrow(_pack_entities, _RANK_ROWS)
+    number = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     answers = (sides(known.select(*TRIPLE).distinct())
                .join(ent.select(F.col("label").alias("answer"), F.col("id").alias("aid")), "answer")
-               .join(sizes.select(*query), query, "left_semi")
-               .groupBy(*query, block("aid").alias("block")).agg(F.collect_set("aid").alias("known")))
-    number = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    batch = F.pmod(F.xxhash64(*query, "_part"), F.lit(n_batches)).cast("int")
-    asked = (queries.withColumn("block", number(n_blocks)).join(answers, [*query, "block"], "left")
-             .select("block", batch.alias("batch"), "side", "av", "rv", "xv", "targets", "scores", "known"))
-    offered = ent.select(block("id").alias("block"), number(n_batches).alias("batch"), "id", "vec")
-    counts = asked.groupBy("block", "batch").cogroup(offered.groupBy("block", "batch")).applyInPandas(
-        _rank_block(model, has_extra), "target long, better long, equal long"
+               .groupBy(*query, block("aid").alias("block")).agg(F.collect_set("aid").alias("known"))
+               .join(numbered.select(*query, "q", "batch"), query)
+               .select("block", "batch", F.lit(2).alias("kind"), "q", "known", *[none("binary").alias(f"p{i}") for i in range(9)]))
+    met = packed.drop("batch").select(number(n_batches).alias("batch"), "*").unionByName(
+        stacked.drop("block").select(number(n_blocks).alias("block"), "*")).unionByName(answers)
+    counts = met.repartition("block", "batch").sortWithinPartitions("block", "batch", "kind").mapInArrow(
+        _rank_blocks(model, has_extra), "target long, better long, equal long"
     ).groupBy("target").agg(F.sum("better").alias("better"), F.sum("equal").alias("equal"))
     return targets.join(counts, "target").select(
         *TRIPLE, "side", (1 + F.col("better") + F.col("equal") / 2).alias("rank"))
