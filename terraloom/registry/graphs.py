@@ -187,17 +187,23 @@ def _(spark, sf):
 _CATALOG_SQL = {"population": _INDICATOR_SQL, "annual data": _YEAR_SQL, "neighbors": _NEAR_SQL, "cheap next to populous": _PROVINCE_SQL, "top population": _TOP_SQL}
 
 
-@query("query_catalog", sql(" union all ".join(f"select '{n}' as query, count(*) as solutions from ({q})" for n, q in _CATALOG_SQL.items())
-                            + " union all select 'nobody', 0", "graph"))
+_SOLUTION = {"population": "double", "total_contracts": "double", "income_per_capita": "double", "neighbor_label": "string", "municipality_name": "string",
+             "avg_rent": "double", "neighbor_name": "string", "neighbor_population": "double", "income": "double"}
+
+
+@query("query_catalog", sql("select query, " + ", ".join(f"cast({c} as {'double' if k == 'double' else 'varchar'}) {c}" for c, k in _SOLUTION.items()) + " from ("
+                            + " union all by name ".join(f"select '{n}' as query, * from ({q})" for n, q in _CATALOG_SQL.items())
+                            + " union all by name select 'nobody' as query)", "graph"))
 def _(spark, sf):
-    """All five queries of the catalogue and one that has no solution, with the number of solutions."""
+    """All solutions of the five queries of the catalogue, and of one that has none."""
     found = patterns.run_catalog(B.graph_table(spark, sf), {
         "population": lambda t: patterns.entity_indicator(t, "M7"), "annual data": lambda t: patterns.entity_year(t, "M7", 1997),
         "neighbors": lambda t: patterns.entity_neighbors(t, "M7"),
         "cheap next to populous": lambda t: patterns.province_neighbors(t, "ASIA", 1998, 10, 3000),
         "top population": lambda t: patterns.comarca_top(t, "NATION_3", 1998),
         "nobody": lambda t: patterns.entity_neighbors(t, "no such place")})
-    return found.groupBy("query").agg(F.count("solution").alias("solutions"))
+    parsed = found.select("query", F.from_json("solution", ", ".join(f"{c} {k}" for c, k in _SOLUTION.items())).alias("of"))
+    return rounded(parsed.select("query", *[F.col(f"of.{c}").alias(c) for c in _SOLUTION]), *[c for c, k in _SOLUTION.items() if k == "double"])
 
 
 def _schema_rows(spark):
@@ -260,6 +266,17 @@ def _(spark, sf):
     return has.unionByName(found.join(unknown.select("question_id"), "question_id", "left_semi"))
 
 
+@query("query_prompts", f"""select c_custkey, 'Question: Who is ' || c_name || '?' || chr(10) || 'Query:' || chr(10) as tail, true as guided, {len(retrieval.GRAPH_GUIDE)} as guide_lines from customer""")
+def _(spark, sf):
+    """Requests for a graph query, seen by their end and by the vocabulary they spell out."""
+    rows = table(spark, sf, "customer").select("c_custkey", F.concat(F.lit("Who is "), "c_name", F.lit("?")).alias("question"))
+    prompt = F.col("prompt")
+    told = retrieval.render_prompts(rows, "question")
+    at = F.instr(prompt, F.lit("Question: "))
+    return told.select("c_custkey", F.substr(prompt, at).alias("tail"), F.contains(prompt, F.lit(f"proj <{NS}>")).alias("guided"),
+                       F.size(F.filter(F.split(prompt, "\n"), lambda line: F.startswith(line, F.lit("- ")))).alias("guide_lines"))
+
+
 @query("prompts", f"""select c_custkey, 'Answer from these facts only, briefly. If they are empty or say so, reply that the information does not suffice.
 
 Facts: ' || c_mktsegment || '

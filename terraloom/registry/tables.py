@@ -21,7 +21,7 @@ from terraloom.registry import bindings as B
 from terraloom.registry.base import query, round6
 from terraloom.registry.bindings import sql, table
 from terraloom.session import shared_path
-from terraloom.sources import documents, polygons, relations, tables
+from terraloom.sources import documents, polygons, relations, tables, versions
 
 D6 = lambda c, n=None: round6(c).alias(n or c)
 
@@ -74,61 +74,61 @@ def _(spark, sf):
     return K.flatten_cube(cubes, ("YEAR", "STATUS")).withColumn("VALUE", F.round("VALUE", 2))
 
 
-@query("cube_validation", "select c_nationkey, cast(21 as bigint) expected, cast(21 as bigint) found, cast(21 as bigint) flattened, "
-       "true complete from orders join customer on o_custkey=c_custkey group by 1")
+@query("cube_validation", sql("""select c_nationkey, expected, found, least(expected, found) flattened, expected = found complete
+  from (select c_nationkey, count(*) expected, count(*) + case c_nationkey % 3 when 1 then -1 when 2 then 2 else 0 end found from cells group by 1)""", **_CELLS))
 def _(spark, sf):
-    return K.validate_cube(documents.parse_cubes(_nation_cubes(spark, sf), "doc"))
+    """Cubes of which a third lack a value and a third have two too many."""
+    cubes = documents.parse_cubes(_nation_cubes(spark, sf), "doc")
+    third = F.col("c_nationkey") % 3
+    raw = F.when(third == 1, F.slice("raw", 1, F.size("raw") - 1)).when(third == 2, F.concat("raw", F.array(F.lit("7"), F.lit("x")))).otherwise(F.col("raw"))
+    return K.validate_cube(cubes.withColumn("raw", raw))
+
+
+def _record():
+    return F.struct(C.slice_id("o_custkey").alias("codi_territorial"), F.col("o_orderstatus").alias("periode"))
 
 
-_PAGE_ROWS = "select o_orderstatus c, o_custkey // 100 as page, row_number() over (partition by o_custkey // 100 order by o_orderkey) - 1 n from orders"
+def _stale(n: int):
+    """Records behind a stream's end, which nobody may read."""
+    return F.to_json(F.array_repeat(F.struct(F.lit("0").alias("codi_territorial"), F.lit("stale").alias("periode")), n))
 
 
-@query("landed_pages", f"""with rows as ({_PAGE_ROWS}), page_sizes as (select page, case when page % 11 = 7 then 40 when page % 13 = 12 then 0 else 50 end size from rows group by 1 having count(*) >= 50),
-  read as (select page from page_sizes where page <= (select coalesce(min(page), 0) from (select page from page_sizes where size < 50
-    union all select a.page from page_sizes a where not exists (from page_sizes b where b.page = a.page + 1))))
-  select page, c, count(*) as rows from rows join page_sizes using (page) where n < size and page in (from read) group by 1, 2""")
+@query("landed_pages", """select o_orderkey // 200 page, o_orderstatus c, count(*) as rows from orders group by 1, 2""")
 def _(spark, sf):
-    """Pages of 50 records; some are short, some empty, and what follows the first of them is not read."""
-    rank = F.row_number().over(Window.partitionBy("page").orderBy("o_orderkey")) - 1
-    rows = table(spark, sf, "orders").withColumn("page", F.floor(F.col("o_custkey") / 100)).withColumn("n", rank)
-    size = F.when(F.col("page") % 11 == 7, 40).when(F.col("page") % 13 == 12, 0).otherwise(50)
-    record = F.struct(C.slice_id("o_custkey").alias("codi_territorial"), F.col("o_orderstatus").alias("periode"))
-    pages = rows.filter("n < 50").groupBy("page").agg(F.collect_list(F.when(F.col("n") < size, record)).alias("records"), F.count(F.lit(1)).alias("full"))
+    """Every order, in pages of 200 order keys; an empty page ends them, and a later one is not read."""
+    pages = table(spark, sf, "orders").groupBy(F.floor(F.col("o_orderkey") / 200).alias("page")).agg(F.to_json(F.collect_list(_record())).alias("value"))
+    last = table(spark, sf, "orders").agg(F.floor(F.max("o_orderkey") / 200).alias("last"))
+    empty = last.select((F.col("last") + 1).alias("page"), F.lit("[]").alias("value"))
+    later = last.select((F.col("last") + 2).alias("page"), _stale(5).alias("value"))
     path = shared_path(spark, "pages")
-    pages.filter("full = 50").select("page", F.to_json("records").alias("value")).write.partitionBy("page").text(path)
-    landed = documents.read_pages(spark, path, limit=50, number=r"page=(\d+)")
+    pages.union(empty).union(later).write.partitionBy("page").text(path)
+    landed = documents.read_pages(spark, path, limit=1, number=r"page=(\d+)")
     return landed.groupBy("page", F.col("periode").alias("c")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("landed_streams", """with ranked as (select o_custkey % 8 s, o_orderstatus c, row_number() over (partition by o_custkey % 8 order by o_orderkey) - 1 r,
-    count(*) over (partition by o_custkey % 8) // 100 * 100 whole from orders),
-  placed as (select case when s % 3 = 1 and r >= whole then s + 8 else s end stream, case when s % 3 = 1 and r >= whole then 0 else r // 100 end page, c from ranked)
+@query("landed_streams", """with ranked as (select o_custkey // 20 s, o_orderstatus c, row_number() over (partition by o_custkey // 20 order by o_orderkey) - 1 r,
+    count(*) over (partition by o_custkey // 20) // 50 * 50 whole from orders),
+  placed as (select case when s % 3 = 1 and r >= whole then -1 - s else s end stream, case when s % 3 = 1 and r >= whole then 0 else r // 50 end page, c from ranked)
   select stream, page, c, count(*) as rows from placed group by all""")
 def _(spark, sf):
-    """Every order, in pages of 100 per stream. Two thirds of streams 0 to 7 have later pages behind their end.
+    """Every order, in pages of 50 per stream of 20 customers, all streams read at once. Two thirds of the streams have later pages behind their end.
 
     Of these a third ends with a short page, a third with an empty one; the rest of the latter is a stream of its own.
     """
     held = Window.partitionBy("s")
-    ranked = table(spark, sf, "orders").withColumn("s", F.col("o_custkey") % 8).withColumns({
+    ranked = table(spark, sf, "orders").withColumn("s", F.floor(F.col("o_custkey") / 20)).withColumns({
         "r": F.row_number().over(held.orderBy("o_orderkey")) - 1, "n": F.count(F.lit(1)).over(held)})
-    whole = F.floor(F.col("n") / 100) * 100
+    whole = F.floor(F.col("n") / 50) * 50
     rest = (F.col("s") % 3 == 1) & (F.col("r") >= whole)
-    record = F.struct(C.slice_id("o_custkey").alias("codi_territorial"), F.col("o_orderstatus").alias("periode"))
-    pages = ranked.groupBy(F.when(rest, F.col("s") + 8).otherwise(F.col("s")).alias("stream"),
-                           F.when(rest, 0).otherwise(F.floor(F.col("r") / 100)).alias("page")).agg(F.to_json(F.collect_list(record)).alias("value"))
+    pages = ranked.groupBy(F.when(rest, -1 - F.col("s")).otherwise(F.col("s")).alias("stream"),
+                           F.when(rest, 0).otherwise(F.floor(F.col("r") / 50)).alias("page")).agg(F.to_json(F.collect_list(_record())).alias("value"))
     ends = ranked.groupBy("s").agg(F.first("n").alias("n"))
-    empty = ends.filter("s % 3 = 1 or s % 3 = 0 and n % 100 = 0").select("s", F.floor(F.col("n") / 100).alias("page"), F.lit("[]").alias("value"))
-    stale = F.array_repeat(F.struct(F.lit("0").alias("codi_territorial"), F.lit("stale").alias("periode")), 100)
-    later = ends.filter("s % 3 < 2").select("s", (F.floor(F.col("n") / 100) + 1).alias("page"), F.to_json(stale).alias("value"))
+    empty = ends.filter("s % 3 = 1 or s % 3 = 0 and n % 50 = 0").select("s", F.floor(F.col("n") / 50).alias("page"), F.lit("[]").alias("value"))
+    later = ends.filter("s % 3 < 2").select("s", (F.floor(F.col("n") / 50) + 1).alias("page"), _stale(50).alias("value"))
     path = shared_path(spark, "streams")
-    pages.union(empty).union(later).write.partitionBy("stream", "page").text(path)
-    found = None
-    for row in pages.select("stream").distinct().union(ends.filter("s % 3 = 1").select("s")).distinct().collect():
-        read = documents.read_pages(spark, f"{path}/stream={row.stream}", limit=100, number=r"page=(\d+)").select(
-            F.lit(row.stream).alias("stream"), "page", F.col("periode").alias("c"))
-        found = read if found is None else found.union(read)
-    return found.groupBy("stream", "page", "c").agg(F.count(F.lit(1)).alias("rows"))
+    pages.union(empty).union(later).repartition(8).write.partitionBy("stream", "page").text(path)
+    read = documents.read_page_streams(spark, path, r"stream=(-?\d+)", limit=50, number=r"page=(\d+)")
+    return read.groupBy(F.col("stream").cast("long").alias("stream"), "page", F.col("periode").alias("c")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query("region_tree", "select distinct cast(c_custkey as varchar) id from customer")
@@ -173,6 +173,19 @@ def _(spark, sf):
     return tables.read_table(spark, path)
 
 
+@query("table_versions", """select 0 as version, r_name as name, cast(r_regionkey as bigint) as id from region
+  union all select 1, n_name, cast(n_nationkey as bigint) from nation union all select 2, c_name, cast(c_custkey as bigint) from customer""")
+def _(spark, sf):
+    """Three versions of one table, each with a schema of its own, all read after the last was written."""
+    path = shared_path(spark, "versioned")
+    for name in ("region", "nation", "customer"):
+        tables.write_table(table(spark, sf, name), path, "versioned")
+    parts = [versions.read_version(spark, path, n).select(F.lit(n).alias("version"), F.col(f"{c}_name").alias("name"), F.col(f"{c}_{k}key").cast("long").alias("id"))
+             for n, (c, k) in enumerate([("r", "region"), ("n", "nation")])]
+    latest = tables.read_table(spark, path, "versioned").select(F.lit(2).alias("version"), F.col("c_name").alias("name"), F.col("c_custkey").cast("long").alias("id"))
+    return parts[0].unionByName(parts[1]).unionByName(latest)
+
+
 @query("relation_round_trip", sql(
     "select a.id, a.name, e.neighbor_id, b.name neighbor_name from squares a join grid_edges e on e.id=a.id "
     "join squares b on b.id=e.neighbor_id", "grid_edges"))
@@ -740,3 +753,14 @@ def _(spark, sf):
     names = X.feature_columns(customer, "c_nationkey", ["c_mktsegment"])
     present = customer.agg(*[F.count(n).alias(n) for n in names])
     return present.unpivot([], names, "feature", "n").filter("n > 0").select("feature")
+
+
+@query("fixed_feature_columns", """select feature, place from (values ('total_contracts', 0), ('income_per_capita', 1), ('any', 2), ('comarca_name', 3)) f(feature, place)
+  where exists (from lineitem)""")
+def _(spark, sf):
+    """The listed features that the annual table has, in the listed order, without those it lacks."""
+    annual = municipal(spark, sf)
+    names = X.fixed_feature_columns(annual, ["total_contracts", "absent", "income_per_capita"], "any", ["avg_monthly_rent_lag9"])
+    present = annual.agg(*[F.count(F.lit(1)).alias(n) for n in names])
+    order = F.create_map(*[c for i, n in enumerate(names) for c in (F.lit(n), F.lit(i))])
+    return present.unpivot([], names, "feature", "n").filter("n > 0").select("feature", order[F.col("feature")].alias("place"))

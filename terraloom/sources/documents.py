@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from terraloom import schemas
 from terraloom.functions.columns import split_levels, to_int, to_number, to_utc
+from terraloom.session import cut_lineage, materialise
 
 _CUBE = ("id array<string>, dimension map<string, struct<category: struct<"
          "index: array<string>, label: map<string, string>>>>, value array<string>")
@@ -47,47 +48,61 @@ def read_pages(spark: SparkSession, path: str, limit: int = 1000, schema: T.Stru
     are one small row a page; they are checked when the plan is built. Records keep the text form
     they were landed in.
     """
+    return read_page_streams(spark, path, None, limit, schema, number).drop("stream")
+
+
+def read_page_streams(spark: SparkSession, path: str, stream: str | None, limit: int = 1000, schema: T.StructType | None = None,
+                      number: str = r"(\d+)[^/\d]*$") -> DataFrame:
+    """Records of many landed streams as ``stream, page, position`` and the record's columns, in one job.
+
+    ``stream`` is a pattern whose group names a page's stream in its path; without one all pages are
+    one stream. Each stream follows the rules of :func:`read_pages` by itself. The sizes of all pages
+    are written once, and both the checks and the ends of the streams come from them by aggregates.
+    """
     record = schema or T.StructType([T.StructField(f.name, T.StringType()) for f in schemas.RENT.fields])
-    name = F.regexp_extract(F.col("_metadata.file_path"), number, 1)
+    where = F.col("_metadata.file_path")
     pages = spark.read.text(path, wholetext=True).select(
-        name.try_cast("long").alias("page"),
+        (F.regexp_extract(where, stream, 1) if stream else F.lit("")).alias("stream"),
+        F.regexp_extract(where, number, 1).try_cast("long").alias("page"),
         F.when(F.col("value").rlike(r"^\s*\[[\s\S]*\]\s*$"), F.from_json("value", T.ArrayType(record), {"mode": "PERMISSIVE"})).alias("records"),
         F.try_parse_json(F.concat(F.lit('{"v":'), "value", F.lit("}"))).isNull().alias("malformed"))  # inside an object, a second text is an error
-    sizes = pages.select("page", F.size("records").alias("n"), (F.col("malformed") | F.col("records").isNull()).alias("bad"))
-    checked = sizes.agg(
+    sizes = materialise(pages.select("stream", "page", F.size("records").alias("n"), (F.col("malformed") | F.col("records").isNull()).alias("bad")), "page-sizes")
+    streams = sizes.groupBy("stream").agg(
         F.min("page").alias("first"), F.every(F.col("page") % limit == 0).alias("offsets"), F.count_if("bad").alias("bad"),
         F.min(F.when(F.col("bad"), F.col("page"))).alias("worst"), F.count("page").alias("pages"), F.count_distinct("page").alias("numbers"),
-        F.count_if(F.col("page").isNull()).alias("unnamed")).first()
-    if checked["bad"]:
-        raise ValueError(f"{checked['bad']} pages hold no single JSON array, the first is page {checked['worst']}")
-    if checked["pages"] != checked["numbers"] or checked["unnamed"]:
-        raise ValueError("pages without a number of their own")
-    step = limit if checked["offsets"] else 1
-    if checked["first"] is not None and checked["first"] > (0 if step > 1 else 1):
-        raise ValueError(f"the first page is missing: numbers begin at {checked['first']}")
-    follows = sizes.select((F.col("page") - step).alias("page"), F.lit(True).alias("follows"))
-    stop = sizes.join(follows, "page", "left").filter(
-        (F.col("n") < limit) | F.col("follows").isNull()).agg(F.min("page")).first()[0]
-    kept = pages.filter(F.col("page") <= (-1 if stop is None else stop))
-    return kept.select("page", F.posexplode("records").alias("position", "r")).select(
-        "page", "position", "r.*")
+        F.count_if(F.col("page").isNull()).alias("unnamed")).withColumn("step", F.when(F.col("offsets"), limit).otherwise(1))
+    late = F.col("first") > F.when(F.col("step") > 1, 0).otherwise(1)
+    wrong = streams.where((F.col("bad") > 0) | (F.col("pages") != F.col("numbers")) | (F.col("unnamed") > 0) | late).orderBy("stream").first()
+    if wrong:
+        of = f" of stream {wrong['stream']}" if stream else ""
+        if wrong["bad"]:
+            raise ValueError(f"{wrong['bad']} pages{of} hold no single JSON array, the first is page {wrong['worst']}")
+        if wrong["pages"] != wrong["numbers"] or wrong["unnamed"]:
+            raise ValueError(f"pages{of} without a number of their own")
+        raise ValueError(f"the first page{of} is missing: numbers begin at {wrong['first']}")
+    stepped = sizes.join(streams.select("stream", "step"), "stream")
+    follows = stepped.select("stream", (F.col("page") - F.col("step")).alias("page"), F.lit(True).alias("follows"))
+    ends = stepped.join(follows, ["stream", "page"], "left").filter(
+        (F.col("n") < limit) | F.col("follows").isNull()).groupBy("stream").agg(F.min("page").alias("stop"))
+    kept = pages.join(ends, "stream").filter(F.col("page") <= F.col("stop"))
+    return kept.select("stream", "page", F.posexplode("records").alias("position", "r")).select("stream", "page", "position", "r.*")
 
 
 def flatten_tree(df: DataFrame, col: str, scheme: str, root: str = "$.fitxes.v") -> DataFrame:
     """Distinct sorted ids of all nodes of one scheme, at any depth of JSON region trees.
 
-    Children are a list or one object. Each level is one lateral explode over the level above;
-    the loop ends at the first level without children, so it runs as often as the tree is deep.
+    Children are a list or one object. Each level is one lateral explode over the level above and
+    is computed once, materialised; the loop ends at the first level without nodes.
     """
     level = df.select(F.try_variant_get(F.try_parse_json(F.col(col)), root, "variant").alias("v"))
     found = None
     while True:
-        nodes = level.select(_children("v")).select(F.explode("nodes").alias("n"))
+        nodes = cut_lineage(level.select(_children("v")).select(F.explode("nodes").alias("n")))
         here = nodes.filter(F.try_variant_get("n", "$.scheme", "string") == scheme).select(
             F.try_variant_get("n", "$.id", "string").alias("id"))
         found = here if found is None else found.unionByName(here)
         level = nodes.select(F.try_variant_get("n", "$.v", "variant").alias("v")).filter("v is not null")
-        if level.isEmpty():
+        if nodes.isEmpty():
             return found.filter("id is not null").distinct().orderBy("id")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terraloom.session import read_options
+from terraloom.sources.versions import read_version, write_version
 
 
 def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -18,14 +19,23 @@ def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """A table by its format; ``versioned`` reads the latest version (see :mod:`terraloom.sources.versions`)."""
+    if fmt == "versioned":
+        return read_version(spark, path)
     return spark.read.format(fmt).load(path)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 columns: Sequence[str] | None = None, partition_by: Sequence[str] = ()) -> None:
-    """Write a table, replacing rows and schema; ``columns`` fixes the order of those present."""
+    """Write a table, replacing rows and schema; ``columns`` fixes the order of those present.
+
+    The format ``versioned`` publishes a new version, so the rows before stay whole and readable.
+    """
     if columns:
         df = df.select(*[c for c in columns if c in df.columns])
+    if fmt == "versioned":
+        write_version(df if mode != "append" else read_version(df.sparkSession, path).unionByName(df), path, partition_by)
+        return
     writer = df.write.format(fmt).mode(mode)
     if fmt == "delta":
         writer = writer.option("overwriteSchema", "true")

@@ -165,3 +165,28 @@ def test_polygon_text(spark):
     got = {r.id: [[(p.x, p.y) for p in ring] for ring in r.rings] for r in polygons.parse_polygons(df).collect()}
     assert set(got) == {"a", "b"}
     assert got["a"][1] == [(1.0, 1.0), (2.0, 1.0), (1.0, 1.0)] and len(got["b"]) == 2
+
+
+def test_streams_end_each_by_itself(spark, tmp_path):
+    """Short, empty and missing pages of one stream do not end another."""
+    import json
+    page = lambda n: json.dumps([{"periode": f"{n}.{i}"} for i in range(n)])
+    files = {"a/page_1": 2, "a/page_2": 1, "a/page_3": 2, "b/page_1": 2, "b/page_2": 2, "b/page_4": 2, "c/page_0": 0, "c/page_1": 2}
+    for name, n in files.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / f"{name}.json").write_text(page(n))
+    out = documents.read_page_streams(spark, str(tmp_path / "*"), r"/(\w)/page", limit=2)
+    got = {(r.stream, r.page): r.n for r in out.groupBy("stream", "page").agg(F.count("*").alias("n")).collect()}
+    assert got == {("a", 1): 2, ("a", 2): 1, ("b", 1): 2, ("b", 2): 2}
+    (tmp_path / "c" / "page_0.json").write_text("no list")
+    with pytest.raises(ValueError, match="stream c"):
+        documents.read_page_streams(spark, str(tmp_path / "*"), r"/(\w)/page", limit=2)
+
+
+def test_deep_trees_end_where_their_nodes_do(spark):
+    import json
+    node = {"scheme": "mun", "id": "deepest"}
+    for level in range(12):
+        node = {"scheme": "mun", "id": f"m{level}", "v": node if level % 2 else [node, {"scheme": "com", "id": f"c{level}"}]}
+    docs = spark.createDataFrame([(json.dumps({"fitxes": {"v": node}}),), (None,), ("{}",), ("broken",)], "doc string")
+    assert [r.id for r in documents.flatten_tree(docs, "doc", "mun").collect()] == sorted(["deepest", *[f"m{n}" for n in range(12)]])
