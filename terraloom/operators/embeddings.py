@@ -576,6 +576,19 @@ def grid_split(triples: DataFrame) -> DataFrame:
     return train.unionByName(split.filter(F.col("split") != "train"))
 
 
+def train_experiment(spark: SparkSession, split: DataFrame, model: str, dim: int, path: str, force: bool = False, **options) -> DataFrame:
+    """The parameters of one experiment on a :func:`grid_split`, stored under its name, or those that are stored.
+
+    Whoever needs an experiment's vectors takes them from here, so they never depend on who asked first.
+    """
+    def train() -> DataFrame:
+        kept = cut_lineage(split)
+        of = lambda name: kept.filter(F.col("split") == name).select(*TRIPLE)
+        return train_kge(of("train"), of("validation"), model, dim, **options)[0]
+
+    return train_or_load(spark, f"{path}/{model}_dim_{dim}", train, force)
+
+
 def run_grid(spark: SparkSession, triples: DataFrame, configs: Sequence[tuple[str, int]], path: str,
              force: bool = False, **options) -> tuple[DataFrame | None, dict[str, str]]:
     """Metrics of all experiments and the errors of those that failed.
@@ -588,9 +601,7 @@ def run_grid(spark: SparkSession, triples: DataFrame, configs: Sequence[tuple[st
     for model, dim in dict.fromkeys(configs):
         experiment = f"{model}_dim_{dim}"
         try:
-            params = train_or_load(
-                spark, f"{path}/{experiment}",
-                lambda m=model, d=dim: train_kge(of("train"), of("validation"), m, d, **options)[0], force)
+            params = train_experiment(spark, split, model, dim, path, force, **options)
             found = evaluate_kge(params, of("test"), split, model).withColumns({
                 "experiment": F.lit(experiment), "rank_type": F.lit("realistic"), "dataset": F.lit("testing")})
             found = cut_lineage(found)

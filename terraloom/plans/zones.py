@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from terraloom import schemas, vocab
 from terraloom.functions.columns import normalize_id
 from terraloom.operators.aggregate import collect_in_parts
-from terraloom.operators.embeddings import compare_experiments, embedding_features, run_grid, train_kge, train_or_load
+from terraloom.operators.embeddings import compare_experiments, embedding_features, grid_split, run_grid, train_experiment
 from terraloom.operators.features import feature_columns, time_features
 from terraloom.operators.joins import derive_parent_edges, join_embeddings, mapping_frame, with_geometry
 from terraloom.operators.ordering import dedupe_keys, time_split
@@ -146,13 +146,13 @@ def analyse(spark: SparkSession, root: str, parts: Sequence[str], fmt: str = "pa
     """Chosen analysis parts in fixed order: catalogue queries, retrieval, embeddings, prediction.
 
     Embeddings are split, trained with early stopping, tested and compared for ``grid`` or else for
-    ``(model, dim)`` alone; the prediction joins those of ``model`` and ``dim``.
+    ``(model, dim)`` alone; the prediction joins the vectors of the experiment of ``model`` and ``dim``,
+    trained by the same rule whichever part asks for them first.
     """
     at = layout(root)
     graph = read_triples(spark, f"{at['exploitation']}/knowledge_graph", fmt)
     stored_at = f"{at['analysis']}/embeddings"
-    vectors = lambda: train_or_load(spark, f"{stored_at}/{model}_dim_{dim}", lambda: train_kge(
-        entity_triples(graph), None, model, dim, **(training or {}))[0])
+    vectors = lambda: train_experiment(spark, grid_split(entity_triples(graph)), model, dim, stored_at, **(training or {}))
     for part in PARTS:
         if part not in parts:
             continue

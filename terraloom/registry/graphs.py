@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from terraloom import vocab
@@ -441,6 +442,16 @@ def _(spark, sf):
     return out.select("label", F.posexplode("vec").alias("j", "value")).select("label", F.col("j").cast("long").alias("j"), round6("value").alias("value"))
 
 
+@query("message_pass_weighted", sql("""select cast(t as varchar) as label, i - 1 j, round(sum(m),6) as value from (
+    select l.t, l.p, i, avg(case when l.p='N' then e.embedding[65-i]::double when l.p='A' then 2*e.embedding[i]::double else e.embedding[i]::double end) m
+    from links l join embeddings e on e.vec_id=l.h cross join (select unnest(range(1,65)) i) group by 1, 2, 3) group by 1, 2""", links=_LINKS))
+def _(spark, sf):
+    """One relation doubles what it passes on, one reverses it, the third leaves it as it is."""
+    weights = {"A": 2 * np.eye(64), "N": np.eye(64)[::-1].copy()}
+    out = E.message_pass(_params(spark, sf).filter("kind = 'e'"), _vector_links(spark, sf), weights)
+    return out.select("label", F.posexplode("vec").alias("j", "value")).select("label", F.col("j").cast("long").alias("j"), round6("value").alias("value"))
+
+
 _FLAT = ", ".join(f"embedding[{j + 1}]::double emb_dim_{j}" for j in range(64))
 
 

@@ -90,7 +90,7 @@ def test_every_two_buckets_meet_once(buckets):
     assert {b for p in rounds[0] for b in p} == set(range(buckets))
 
 
-@pytest.mark.parametrize("buckets", [2, 3, 4])
+@pytest.mark.parametrize("buckets", [3])
 def test_every_triple_is_trained_once_an_epoch(spark, buckets):
     triples, parts = graph(20), start("TransE", 20, 4)
     df = spark.createDataFrame(triples, "h long, r long, t long")
@@ -101,7 +101,7 @@ def test_every_triple_is_trained_once_an_epoch(spark, buckets):
     for r in placed:
         assert (r.low, r.high) in pairs and {r.h % buckets, r.t % buckets} <= {r.low, r.high}
     first = walk.epoch(0)
-    for epoch in range(1, 6):
+    for epoch in range(1, 4):
         last = walk.epoch(epoch)
     assert last < first and set(collected(walk.params)) == {(k, i) for k, m in parts.items() for i in range(len(m))}
 
