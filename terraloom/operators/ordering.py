@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from terraloom.session import cut_lineage
+
 
 def _extreme_row(df: DataFrame, keys: Sequence[str], lead: Sequence[str], pick) -> DataFrame:
     rest = [c for c in df.columns if c not in keys and c not in lead]
@@ -56,10 +58,12 @@ def _chunked(df: DataFrame, keys: Sequence[str], order: str, reach: int, hot_row
     ``order`` (a calendar year: few values) and by ranges of the tie-breaking row hash, and
     every chunk receives the last rows of the chunks before it, so that windows of a bounded
     size give the same lags as one window over the whole key. Whether there is such a key is
-    asked when the plan is built; usually there is none and one window suffices.
+    asked when the plan is built, of the rows as written once to the shared folder, so that the
+    input is computed once; usually there is none and one window suffices.
     """
     everything = [F.col(f"`{c}`") for c in df.columns]
     base = df.withColumn("_hash", F.xxhash64(*everything))
+    base = base if hot_rows is None else cut_lineage(base)
     complete = F.lit(True)
     for k in keys:
         complete = complete & F.col(k).isNotNull()
@@ -145,16 +149,18 @@ def time_split(df: DataFrame, year: str, parts: int = 3) -> DataFrame:
     """Column ``split``: the last year is ``test``, the one before ``validation``, the rest ``train``.
 
     With two parts all earlier years are ``train``. The last years (at most ``parts`` values)
-    are fetched when the plan is built, because too few of them is an error.
+    are fetched when the plan is built, because too few of them is an error; the rows are written
+    once for that and computed once.
     """
-    last = [r[0] for r in df.filter(F.col(year).isNotNull()).select(year).distinct()
+    df = cut_lineage(df.filter(F.col(year).isNotNull()))
+    last = [r[0] for r in df.select(year).distinct()
             .orderBy(F.col(year).desc()).limit(parts).collect()]
     if len(last) < parts:
         raise ValueError(f"a split into {parts} parts needs as many years, found {sorted(last)}")
     split = F.when(F.col(year) == last[0], "test")
     if parts == 3:
         split = split.when(F.col(year) == last[1], "validation")
-    return df.filter(F.col(year).isNotNull()).withColumn("split", split.otherwise("train"))
+    return df.withColumn("split", split.otherwise("train"))
 
 
 def split_report(df: DataFrame, year: str) -> DataFrame:

@@ -15,6 +15,7 @@ from terraloom.operators.joins import join_dimension, outer_coalesced, outer_on
 from terraloom.operators.ordering import latest_pivot
 from terraloom.operators.quality import valid_years
 from terraloom.operators.schema import add_null_columns, require_columns, select_existing
+from terraloom.session import cut_lineage
 
 
 def impute_from_brackets(df: DataFrame, value: str = "renda", bracket: str = "tram_preus",
@@ -111,9 +112,10 @@ def affordability_map(polys: DataFrame, annual: DataFrame, poly_key: str = "id",
 
     A polygon appears once per such year; one without figures for it is marked missing. The
     years come from a small distinct, and the polygons are repeated per year before the join so
-    that it stays an equi-join.
+    that it stays an equi-join. The annual rows are written once for both uses.
     """
     require_columns(annual, ["municipality_id", "any", rent, income, "municipality_name"])
+    annual = cut_lineage(annual.select("municipality_id", "any", rent, income, "municipality_name"))
     years = valid_years(annual, "any", [rent, income]).collect()  # calendar years
     listed = F.array(*[F.lit(r[0]) for r in years]) if years else F.array().cast("array<int>")
     base = polys.select(F.col(poly_key).cast("string").alias("polygon_id"), F.explode(listed).alias("year"))
