@@ -12,7 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from terraloom.operators import embeddings as E  # noqa: E402
 from terraloom.registry import bindings as B  # noqa: E402
-from terraloom.registry import graphs, tables  # noqa: E402,F401
+from terraloom.registry import graphs, models, tables  # noqa: E402,F401
 from terraloom.registry.base import REGISTRY  # noqa: E402
 from terraloom.session import build_session  # noqa: E402
 
