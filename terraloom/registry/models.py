@@ -51,8 +51,8 @@ _VIEWS = {
 
 
 def _rows(spark, sf):
-    """Annual rows with a rent, to the six digits to which the two engines' means agree."""
-    return municipal(spark, sf).select("municipality_id", *_NUMERIC, "comarca_name", round6("avg_monthly_rent").alias("avg_monthly_rent")).where("avg_monthly_rent is not null")
+    """Annual rows with a rent, which :func:`municipal` gives to six digits, as does the SQL."""
+    return municipal(spark, sf).select("municipality_id", *_NUMERIC, "comarca_name", "avg_monthly_rent").where("avg_monthly_rent is not null")
 
 
 def _blocks(spark, sf):
