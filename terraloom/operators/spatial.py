@@ -1,171 +1,179 @@
-"""Neighbouring polygons: a grid equi-join on boxes, then an exact distance test."""
+"""Neighbouring polygons: grid equi-joins of single edges, and one ray per ring for containment."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terraloom.session import cut_lineage
 
+# Two opposite corners of what lies in the grid: the ends of an edge, or of a box's diagonal.
+_ENDS = ("px", "py", "qx", "qy")
 
-def _boxes(polys: DataFrame, key: str, tol: float, *extra: Column) -> DataFrame:
-    points = F.flatten("rings")
-    xs, ys = F.transform(points, lambda p: p["x"]), F.transform(points, lambda p: p["y"])
-    half = F.lit(tol / 2)
-    box = polys.select(
-        F.col(key).alias("id"), (F.array_min(xs) - half).alias("x0"), (F.array_max(xs) + half).alias("x1"),
-        (F.array_min(ys) - half).alias("y0"), (F.array_max(ys) + half).alias("y1"), *extra)
-    side = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"), F.lit(1e-9))
-    return box.filter(F.col("x0").isNotNull()).withColumn("level", F.ceil(F.log2(side)).cast("int"))
 
+def _span(p: str, q: str, tol: float, side: str = "") -> tuple[Column, Column]:
+    """Least and greatest coordinate, widened by half the tolerance."""
+    p, q, half = F.col(side + p), F.col(side + q), F.lit(tol / 2)
+    return F.least(p, q) - half, F.greatest(p, q) + half
 
-def _cells(boxes: DataFrame, level) -> DataFrame:
-    """One row per grid cell of side 2^level that a box touches."""
-    size = F.pow(F.lit(2.0), level)
-    span = lambda lo, hi: F.explode(F.sequence(
-        F.floor(F.col(lo) / size).cast("long"), F.floor(F.col(hi) / size).cast("long")))
-    return boxes.withColumn("cx", span("x0", "x1")).withColumn("cy", span("y0", "y1"))
 
+def _level(extent: Column) -> Column:
+    """The grid level at which the extent fits one cell side; every second power of two is a level."""
+    return (F.ceil(F.log2(F.greatest(extent, F.lit(1e-9))) / 2) * 2).cast("int")
 
-def candidate_pairs(polys: DataFrame, key: str, tol: float = 1.0) -> DataFrame:
-    """Unordered pairs ``a, b`` whose boxes are within ``tol`` of each other, each once.
-
-    Every box belongs to the grid level at which it fits one cell side, hence to at most four
-    cells, however large or small it is. It is stored there and looks for partners there and at
-    the coarser levels that occur. Small polygons therefore never share one crowded cell just
-    because others are large, and a large one is not cut into many cells. A pair met in several
-    cells is reported only in the cell of the lower corner of the boxes' overlap, which needs
-    no distinct. The levels that occur are a few dozen numbers, fetched when the plan is built.
-    """
-    return _pairs_of_boxes(_boxes(polys, key, tol))
-
-
-def _pairs_of_boxes(boxes: DataFrame) -> DataFrame:
-    levels = sorted(r[0] for r in boxes.select("level").distinct().collect())
-    if not levels:
-        levels = [0]
-    stored = _cells(boxes, F.col("level")).select(
-        "level", "cx", "cy", *[F.col(c).alias(f"b_{c}") for c in ("id", "x0", "x1", "y0", "y1")])
-    upward = F.filter(F.array(*[F.lit(v) for v in levels]), lambda v: v >= F.col("level"))
-    probes = _cells(
-        boxes.withColumn("own", F.col("level")).withColumn("level", F.explode(upward)), F.col("level"))
-    size = F.pow(F.lit(2.0), F.col("level"))
-    corner_x, corner_y = F.greatest("x0", "b_x0"), F.greatest("y0", "b_y0")
-    return (probes.join(stored, ["level", "cx", "cy"])
-            .filter((F.col("x0") <= F.col("b_x1")) & (F.col("b_x0") <= F.col("x1"))
-                    & (F.col("y0") <= F.col("b_y1")) & (F.col("b_y0") <= F.col("y1")))
-            .filter((F.floor(corner_x / size) == F.col("cx")) & (F.floor(corner_y / size) == F.col("cy")))
-            .filter((F.col("own") < F.col("level")) | (F.col("id") < F.col("b_id")))
-            .select(F.col("id").alias("a"), F.col("b_id").alias("b")))
+
+def _levelled(items: DataFrame, tol: float) -> DataFrame:
+    (x0, x1), (y0, y1) = _span("px", "qx", tol), _span("py", "qy", tol)
+    return items.withColumn("level", _level(F.greatest(x1 - x0, y1 - y0)))
+
+
+def _size() -> Column:
+    return F.pow(F.lit(2.0), F.col("level"))
+
+
+def _cells_between(low: Column, high: Column) -> Column:
+    return F.explode(F.sequence(F.floor(low / _size()).cast("long"), F.floor(high / _size()).cast("long")))
+
+
+def _in_cells(items: DataFrame, tol: float) -> DataFrame:
+    """One row per cell of its level that an item touches: four at most at its own level or a coarser one."""
+    return (items.withColumn("cx", _cells_between(*_span("px", "qx", tol)))
+            .withColumn("cy", _cells_between(*_span("py", "qy", tol))))
 
 
-# --- exact distance test, vectorised over the pairs of a batch ---------------------------------
+def _levels(items: DataFrame) -> list[int]:
+    """The levels that occur: a few dozen numbers, fetched when the plan is built."""
+    return sorted(r[0] for r in items.select("level").distinct().collect()) or [0]
 
-_COMBINATIONS = 1_000_000  # edge-to-edge comparisons held in memory at a time
 
+def _other(items: DataFrame, columns) -> DataFrame:
+    return items.select("level", "cx", "cy", *[F.col(c).alias(f"b_{c}") for c in columns])
 
-def _edge_columns(rings: str) -> tuple[Column, Column]:
-    """Ring edges as one flat array x1, y1, x2, y2, ... and the first point of each ring."""
-    closing = lambda r: F.concat(F.slice(r, 2, F.size(r)), F.slice(r, 1, 1))
-    edges = F.transform(rings, lambda r: F.flatten(F.zip_with(
-        r, closing(r), lambda p, q: F.array(p["x"], p["y"], q["x"], q["y"]))))
-    starts = F.transform(rings, lambda r: F.array(F.get(r, F.lit(0))["x"], F.get(r, F.lit(0))["y"]))
-    return F.flatten(edges), F.flatten(starts)
 
+def _meetings(items: DataFrame, tol: float) -> DataFrame:
+    """Rows of two items of different ids whose boxes are within ``tol``; each two meet once.
+
+    An item belongs to the level at which it fits one cell side, hence to at most four cells. It is
+    stored there and looks for partners there and at the coarser levels that occur. Small items
+    therefore never share one crowded cell just because others are large, and a large one is not
+    cut into many cells. Two that meet in several cells are reported only in the cell of the lower
+    corner of their boxes' overlap, which needs no distinct.
+    """
+    upward = F.filter(F.array(*[F.lit(v) for v in _levels(items)]), lambda v: v >= F.col("level"))
+    probes = _in_cells(items.withColumn("own", F.col("level")).withColumn("level", F.explode(upward)), tol)
+    stored = _other(_in_cells(items, tol), ("id", *_ENDS))
+    (x0, x1), (y0, y1) = _span("px", "qx", tol), _span("py", "qy", tol)
+    (u0, u1), (v0, v1) = _span("px", "qx", tol, "b_"), _span("py", "qy", tol, "b_")
+    return (probes.join(stored, ["level", "cx", "cy"])
+            .filter((F.col("id") < F.col("b_id")) | (F.col("own") < F.col("level")) & (F.col("id") != F.col("b_id")))
+            .filter((x0 <= u1) & (u0 <= x1) & (y0 <= v1) & (v0 <= y1))
+            .filter((F.floor(F.greatest(x0, u0) / _size()) == F.col("cx")) & (F.floor(F.greatest(y0, v0) / _size()) == F.col("cy"))))
+
+
+def _ordered(df: DataFrame) -> DataFrame:
+    return df.select(F.least("id", "b_id").alias("a"), F.greatest("id", "b_id").alias("b"))
 
-def _combine(n: np.ndarray, m: np.ndarray):
-    """All combinations of each pair's n left and m right items, a slice at a time, as indexes of
-    the pair and of both items in the concatenated arrays."""
-    ends = np.cumsum(n * m)
-    begins, left, right = ends - n * m, np.cumsum(n) - n, np.cumsum(m) - m
-    for start in range(0, int(ends[-1]) if len(ends) else 0, _COMBINATIONS):
-        c = np.arange(start, min(int(ends[-1]), start + _COMBINATIONS))
-        k = np.searchsorted(ends, c, side="right")
-        at = c - begins[k]
-        yield k, left[k] + at // m[k], right[k] + at % m[k]
 
+def ring_edges(polys: DataFrame, key: str) -> DataFrame:
+    """``id, ring, at, px, py, qx, qy``: every edge of every ring, the last one back to its first point.
+
+    A ring of one point is one edge of no length. Points without both coordinates are left out.
+    """
+    points = F.filter("points", lambda p: p["x"].isNotNull() & p["y"].isNotNull())
+    rings = polys.select(F.col(key).alias("id"), F.posexplode("rings").alias("ring", "points")).select(
+        "id", "ring", points.alias("points"))
+    following = F.concat(F.slice("points", 2, F.size("points")), F.slice("points", 1, 1))
+    edge = F.zip_with("points", following, lambda p, q: F.struct(
+        p["x"].alias("px"), p["y"].alias("py"), q["x"].alias("qx"), q["y"].alias("qy")))
+    return rings.filter(F.size("points") > 0).select("id", "ring", F.posexplode(edge).alias("at", "e")).select(
+        "id", "ring", "at", "e.*")
 
-def _gap(p: np.ndarray, e: np.ndarray) -> np.ndarray:
-    """Squared distance of each point to the segment in the same row."""
-    d = e[:, 2:] - e[:, :2]
-    v = p - e[:, :2]
-    length = (d * d).sum(axis=1)
-    t = np.clip((v * d).sum(axis=1) / np.where(length > 0, length, 1.0), 0.0, 1.0)
-    return ((v - t[:, None] * d) ** 2).sum(axis=1)
 
+def _extents(edges: DataFrame) -> DataFrame:
+    """The box of each polygon, by its lower and upper corner."""
+    return edges.groupBy("id").agg(
+        F.min(F.least("px", "qx")).alias("px"), F.min(F.least("py", "qy")).alias("py"),
+        F.max(F.greatest("px", "qx")).alias("qx"), F.max(F.greatest("py", "qy")).alias("qy"))
 
-def _side(o, p, q):
-    return (p[:, 0] - o[:, 0]) * (q[:, 1] - o[:, 1]) - (p[:, 1] - o[:, 1]) * (q[:, 0] - o[:, 0])
 
+def candidate_pairs(polys: DataFrame, key: str, tol: float = 1.0) -> DataFrame:
+    """Unordered pairs ``a, b`` whose boxes are within ``tol`` of each other, each once."""
+    return _ordered(_meetings(_levelled(_extents(ring_edges(polys, key)), tol), tol))
 
-def _touching(ea, na, eb, nb, tol: float) -> np.ndarray:
-    """Pairs of which two edges cross or come within the tolerance."""
-    hit = np.zeros(len(na), dtype=bool)
-    for k, i, j in _combine(na, nb):
-        a, b = ea[i], eb[j]
-        a1, a2, b1, b2 = a[:, :2], a[:, 2:], b[:, :2], b[:, 2:]
-        near = (_gap(a1, b) <= tol * tol) | (_gap(b1, a) <= tol * tol)
-        near |= (_side(a1, a2, b1) * _side(a1, a2, b2) < 0) & (_side(b1, b2, a1) * _side(b1, b2, a2) < 0)
-        hit[k[near]] = True
-    return hit
 
+# --- exact tests of single edges ----------------------------------------------------------------
 
-def _containing(points, counts, edges, n) -> np.ndarray:
-    """Pairs of which a point lies inside the edges, by the even-odd rule."""
-    crossings = np.zeros(len(points), dtype=np.int64)
-    for _, i, j in _combine(counts, n):
-        (px, py), (x1, y1, x2, y2) = points[i].T, edges[j].T
-        spans = (y1 > py) != (y2 > py)
-        left = spans & (px < x1 + (py - y1) * (x2 - x1) / np.where(spans, y2 - y1, 1.0))
-        crossings += np.bincount(i[left], minlength=len(points))
-    owner = np.repeat(np.arange(len(counts)), counts)
-    hit = np.zeros(len(counts), dtype=bool)
-    hit[owner[crossings % 2 == 1]] = True
-    return hit
+def _gap(point: tuple[str, str], edge: Sequence[str]) -> Column:
+    """Squared distance of a point to an edge."""
+    px, py = (F.col(c) for c in point)
+    ax, ay, bx, by = (F.col(c) for c in edge)
+    dx, dy = bx - ax, by - ay
+    length = dx * dx + dy * dy
+    along = F.when(length > 0, ((px - ax) * dx + (py - ay) * dy) / length).otherwise(F.lit(0.0))
+    t = F.least(F.greatest(along, F.lit(0.0)), F.lit(1.0))
+    ex, ey = px - ax - t * dx, py - ay - t * dy
+    return ex * ex + ey * ey
 
 
-def _ragged(column: pd.Series, width: int) -> tuple[np.ndarray, np.ndarray]:
-    rows = [np.asarray(v, dtype=float) for v in column]
-    return np.concatenate(rows).reshape(-1, width), np.array([len(r) // width for r in rows])
+def _side(o: Sequence[str], p: Sequence[str], q: Sequence[str]) -> Column:
+    (ox, oy), (ax, ay), (bx, by) = ([F.col(c) for c in v] for v in (o, p, q))
+    return (ax - ox) * (by - oy) - (ay - oy) * (bx - ox)
 
 
-def within(pdf: pd.DataFrame, tol: float) -> np.ndarray:
-    """Which pairs of polygons, given by edges and ring starts, are at most ``tol`` apart.
+def _touching(edges: DataFrame, tol: float) -> DataFrame:
+    """Pairs of polygons of which two edges cross or come within the tolerance.
 
-    Without crossing edges a ring lies inside the other polygon whole or not at all, so one
-    point of each ring decides.
+    Every point of a closed ring begins one edge, so the first points of both edges are enough.
     """
-    (ea, na), (eb, nb) = _ragged(pdf["ea"], 4), _ragged(pdf["eb"], 4)
-    (sa, ka), (sb, kb) = _ragged(pdf["sa"], 2), _ragged(pdf["sb"], 2)
-    return _touching(ea, na, eb, nb, tol) | _containing(sa, ka, eb, nb) | _containing(sb, kb, ea, na)
+    mine, other = list(_ENDS), [f"b_{c}" for c in _ENDS]
+    (a1, a2), (b1, b2) = (mine[:2], mine[2:]), (other[:2], other[2:])
+    near = (_gap(a1, other) <= tol * tol) | (_gap(b1, mine) <= tol * tol)
+    cross = (_side(a1, a2, b1) * _side(a1, a2, b2) < 0) & (_side(b1, b2, a1) * _side(b1, b2, a2) < 0)
+    met = _meetings(_levelled(edges.select("id", *_ENDS), tol), tol)
+    return _ordered(met.filter(near | cross)).distinct()
 
 
-def _near(tol: float):
-    def test(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if len(pdf):
-                yield pdf.loc[within(pdf, tol), ["a", "b"]]
-    return test
+def _containing(edges: DataFrame) -> DataFrame:
+    """Pairs of which a ring's first point lies inside the other polygon, by the even-odd rule.
+
+    Points meet boxes of polygons in the cells of the boxes. The ray of a point inside a box then
+    meets that polygon's edges at its height: an edge is stored in the one or two strips of its
+    own height's level, and a ray looks into one strip of each level.
+    """
+    boxes = _levelled(_extents(edges), 0.0)
+    every = F.explode(F.array(*[F.lit(v) for v in _levels(boxes)]))
+    firsts = (edges.filter("at = 0").select("id", "ring", "px", "py", every.alias("level"))
+              .withColumns({"cx": F.floor(F.col("px") / _size()).cast("long"), "cy": F.floor(F.col("py") / _size()).cast("long")}))
+    boxed = (firsts.join(_other(_in_cells(boxes, 0.0), ("id", *_ENDS)), ["level", "cx", "cy"])
+             .filter((F.col("id") != F.col("b_id")) & F.col("px").between(F.col("b_px"), F.col("b_qx"))
+                     & F.col("py").between(F.col("b_py"), F.col("b_qy")))
+             .select("id", "ring", "px", "py", "b_id"))
+    low, high = _span("py", "qy", 0.0)
+    walls = edges.filter("py != qy").withColumn("level", _level(high - low))
+    strips = walls.withColumn("cy", _cells_between(low, high)).select(
+        "level", "cy", F.col("id").alias("b_id"), *[F.col(c).alias(f"b_{c}") for c in _ENDS])
+    rays = boxed.withColumn("level", F.explode(F.array(*[F.lit(v) for v in _levels(walls)]))).withColumn(
+        "cy", F.floor(F.col("py") / _size()).cast("long"))
+    spans = (F.col("b_qy") > F.col("py")) != (F.col("b_py") > F.col("py"))
+    at = F.col("b_px") + (F.col("py") - F.col("b_py")) * (F.col("b_qx") - F.col("b_px")) / (F.col("b_qy") - F.col("b_py"))
+    crossings = rays.join(strips, ["b_id", "level", "cy"]).filter(spans & (F.col("px") < at)).groupBy("id", "ring", "b_id").agg(
+        F.count(F.lit(1)).alias("n"))
+    return _ordered(crossings.filter(F.col("n") % 2 == 1))
 
 
 def spatial_neighbors(polys: DataFrame, key: str = "id", tol: float = 1.0) -> DataFrame:
     """Ordered pairs ``id, neighbor_id`` of different polygons at most ``tol`` apart.
 
-    ``polys`` has one row per id with ``rings``. Boxes and edges are computed and materialised
-    once, as five scans use them. Geometries join only the candidate pairs, so they are not
-    copied per grid cell.
+    ``polys`` has one row per id with ``rings``. The rings are taken apart into edges, which are
+    written once, as several scans use them; from there on no row holds more than one edge, so a
+    polygon of any size is spread over all tasks. Without crossing edges a ring lies inside the
+    other polygon whole or not at all, so one point of each ring decides. Polygons without points
+    have no neighbours.
     """
-    kind = polys.schema[key].dataType.simpleString()
-    edges, starts = _edge_columns("rings")
-    shapes = cut_lineage(_boxes(polys.filter(F.size("rings") > 0), key, tol, edges.alias("e"), starts.alias("s")))
-    side = lambda n: shapes.select(F.col("id").alias(n), F.col("e").alias(f"e{n}"), F.col("s").alias(f"s{n}"))
-    pairs = _pairs_of_boxes(shapes.drop("e", "s"))
-    near = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ea", "sa", "eb", "sb").mapInPandas(
-        _near(tol), f"a {kind}, b {kind}")
+    edges = cut_lineage(ring_edges(polys, key))
+    near = _touching(edges, tol).union(_containing(edges)).distinct()
     both = F.array(F.struct(F.col("a").alias("id"), F.col("b").alias("neighbor_id")),
                    F.struct(F.col("b").alias("id"), F.col("a").alias("neighbor_id")))
     return near.select(F.inline(both))

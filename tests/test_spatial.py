@@ -63,5 +63,36 @@ def test_crowd_of_small_shapes_next_to_one_large(spark):
     assert len(pairs(spark, shapes)) == 400
 
 
+def _disc(cx, cy, r, n):
+    return [[(cx + r * math.cos(2 * math.pi * k / n), cy + r * math.sin(2 * math.pi * k / n)) for k in range(n)]]
+
+
+def test_two_polygons_of_a_hundred_thousand_edges_lie_in_no_row(spark):
+    """Once taken apart, what is shuffled are single edges; the discs touch in one place only."""
+    shapes = {"west": _disc(0, 0, 1e5, 100_000), "east": _disc(2e5 + 0.5, 0, 1e5, 100_000), "isle": _disc(0, 0, 50, 12), "off": _disc(0, 1e6, 1e5, 1000)}
+    df = frame(spark, shapes)
+    assert pairs(spark, shapes) == {("east", "west"), ("isle", "west")}
+    edges = SP.ring_edges(df, "id")
+    assert edges.count() == 201_012 and not any("array" in t for _, t in edges.dtypes)
+    plan = SP.spatial_neighbors(df)._jdf.queryExecution().executedPlan().toString()
+    assert "InPandas" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_many_rings_inside_and_between_the_walls_of_one(spark):
+    walls = [square(0, 0, 100)[0], square(10, 10, 30)[0], square(60, 60, 30)[0]]
+    inside = {f"i{k}": square(45 + k, 45 + k, 0.5) for k in range(8)}
+    holes = {f"h{k}": square(15 + 2 * k, 20, 0.5) for k in range(8)}
+    got = pairs(spark, {"w": walls} | inside | holes, tol=0.1)
+    assert {p for p in got if "w" in p} == {(k, "w") for k in inside}
+
+
+def test_points_empty_rings_and_missing_coordinates(spark):
+    df = spark.createDataFrame([
+        ("point", [[(5.0, 5.0)]]), ("box", [[(0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0)]]), ("none", []), ("null", None),
+        ("hollow", [[]]), ("part", [[(20.0, 20.0), (None, 1.0), (10.5, 10.0)]]), (None, [[(5.0, 5.0)]])], RING)
+    got = {tuple(r) for r in SP.spatial_neighbors(df).collect()}
+    assert got == {("point", "box"), ("box", "point"), ("part", "box"), ("box", "part")}
+
+
 def test_nothing_in_nothing_out(spark):
     assert SP.spatial_neighbors(frame(spark, {"a": square(0, 0)}).filter("id = 'x'"), "id").count() == 0
