@@ -105,16 +105,14 @@ def candidate_pairs(polys: DataFrame, key: str, tol: float = 1.0) -> DataFrame:
 
 # --- exact tests of single edges ----------------------------------------------------------------
 
-def _gap(point: tuple[str, str], edge: Sequence[str]) -> Column:
-    """Squared distance of a point to an edge."""
+def _near(point: Sequence[str], edge: Sequence[str], tol: float) -> Column:
+    """Whether a point is at most ``tol`` from an edge: from its nearer end, or from the line between its ends."""
     px, py = (F.col(c) for c in point)
     ax, ay, bx, by = (F.col(c) for c in edge)
-    dx, dy = bx - ax, by - ay
-    length = dx * dx + dy * dy
-    along = F.when(length > 0, ((px - ax) * dx + (py - ay) * dy) / length).otherwise(F.lit(0.0))
-    t = F.least(F.greatest(along, F.lit(0.0)), F.lit(1.0))
-    ex, ey = px - ax - t * dx, py - ay - t * dy
-    return ex * ex + ey * ey
+    dx, dy, vx, vy, wx, wy = bx - ax, by - ay, px - ax, py - ay, px - bx, py - by
+    along, length, across, most = vx * dx + vy * dy, dx * dx + dy * dy, vx * dy - vy * dx, F.lit(float(tol) ** 2)
+    return (F.when(along <= 0, vx * vx + vy * vy <= most).when(along >= length, wx * wx + wy * wy <= most)
+            .otherwise(across * across <= most * length))
 
 
 def _side(o: Sequence[str], p: Sequence[str], q: Sequence[str]) -> Column:
@@ -129,7 +127,7 @@ def _touching(edges: DataFrame, tol: float) -> DataFrame:
     """
     mine, other = list(_ENDS), [f"b_{c}" for c in _ENDS]
     (a1, a2), (b1, b2) = (mine[:2], mine[2:]), (other[:2], other[2:])
-    near = (_gap(a1, other) <= tol * tol) | (_gap(b1, mine) <= tol * tol)
+    near = _near(a1, other, tol) | _near(b1, mine, tol)
     cross = (_side(a1, a2, b1) * _side(a1, a2, b2) < 0) & (_side(b1, b2, a1) * _side(b1, b2, a2) < 0)
     met = _meetings(_levelled(edges.select("id", *_ENDS), tol), tol)
     return _ordered(met.filter(near | cross)).distinct()
@@ -172,7 +170,8 @@ def spatial_neighbors(polys: DataFrame, key: str = "id", tol: float = 1.0) -> Da
     other polygon whole or not at all, so one point of each ring decides. Polygons without points
     have no neighbours.
     """
-    edges = cut_lineage(ring_edges(polys, key))
+    tasks = int(polys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    edges = cut_lineage(ring_edges(polys, key).repartition(tasks, "id", "ring", "at"))  # also those of one large polygon
     near = _touching(edges, tol).union(_containing(edges)).distinct()
     both = F.array(F.struct(F.col("a").alias("id"), F.col("b").alias("neighbor_id")),
                    F.struct(F.col("b").alias("id"), F.col("a").alias("neighbor_id")))
