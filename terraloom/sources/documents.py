@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from terraloom import schemas
 from terraloom.functions.columns import split_levels, to_int, to_number, to_utc
@@ -36,6 +37,64 @@ def scan_cube(spark: SparkSession, path: str) -> DataFrame:
     return parse_cubes(spark.read.text(path, wholetext=True))
 
 
+_VALUES = r'(?<!\\)"value"\s*:\s*\['
+_PLAIN_VALUE = r'^\s*(?:[^"]*|"(?:[^"\\]|\\.)*")\s*$'
+
+
+def scan_cube_values(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Cube files of any size, one document per file, read by byte ranges.
+
+    Returns the cubes (``path, dims, codes, labels, found``: the number of their values) and the
+    values (``path, pos, text``). A file is cut at its commas, so Spark deals its byte ranges over
+    tasks like those of a text file. The pieces are written once when the plan is built, and so are the
+    small tables that join them, a row a file or a byte range, whose sizes are then known; the values are those from the
+    key ``value`` to the first closing bracket, and a value's place is the number of values in the
+    ranges before it plus its place in its own, so nothing is sorted. What a document holds besides
+    its values (axes, labels) is one row. A malformed cube, or one without a list of values, has no
+    dimensions. A file with several lists called ``value``, and a text value that holds a comma,
+    raise an error; :func:`scan_cube` reads such documents whole.
+    """
+    pieces = materialise(spark.read.option("lineSep", ",").text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"), F.col("value").alias("piece")), "cube-pieces")
+    here = F.struct("start", "at")
+    marks = pieces.filter(F.col("piece").rlike(_VALUES)).groupBy("path").agg(
+        F.min(here).alias("opens"), F.sum(F.regexp_count("piece", F.lit(_VALUES))).alias("lists"))
+    opened = pieces.filter(F.contains("piece", F.lit("]"))).join(marks, "path")
+    after = F.when(here == F.col("opens"), F.regexp_replace("piece", f"^[\\s\\S]*?{_VALUES}", "")).otherwise(F.col("piece"))
+    section = materialise(marks.join(
+        opened.filter((here >= F.col("opens")) & F.contains(after, F.lit("]"))).groupBy("path").agg(F.min(here).alias("closes")),
+        "path").withColumn("opens", F.when(F.col("lists") == 1, F.col("opens")).otherwise(
+            F.raise_error(F.concat(F.lit("several lists of values in "), "path")))).drop("lists"), "cube-sections")
+    placed = pieces.join(section, "path", "left").withColumns({
+        "inside": F.coalesce((here >= F.col("opens")) & (here <= F.col("closes")), F.lit(False)),
+        "first": here == F.col("opens"), "last": here == F.col("closes")})
+
+    head = F.when(F.col("first"), F.regexp_extract("piece", f"^([\\s\\S]*?{_VALUES})", 1)).otherwise(F.lit(""))
+    tail = F.when(F.col("last"), F.regexp_extract(after, r"(\][\s\S]*)$", 1)).otherwise(F.lit(""))
+    text = F.when(F.col("inside"), F.concat(head, tail)).otherwise(F.col("piece"))
+    rest = placed.filter(~F.col("inside") | F.col("first") | F.col("last")).groupBy("path").agg(
+        F.sort_array(F.collect_list(F.struct("start", "at", F.col("inside").alias("inside"), text.alias("text")))).alias("texts"))
+    # Pieces meet at a comma again, but for the two that the values stood between.
+    document = F.aggregate("texts", F.struct(F.lit("").alias("doc"), F.lit(False).alias("open")), lambda acc, t: F.struct(
+        F.concat(acc["doc"], F.when((acc["doc"] == "") | (acc["open"] & t["inside"]), F.lit("")).otherwise(F.lit(",")), t["text"]).alias("doc"),
+        t["inside"].alias("open")))["doc"]
+    parsed = materialise(parse_cubes(rest.select("path", document.alias("doc")), "doc").drop("raw"), "cube-axes")
+
+    bare = F.when(F.col("last"), F.regexp_replace(after, r"\][\s\S]*$", "")).otherwise(after)
+    inside = placed.filter("inside").select("path", "start", "at", "first", "last", bare.alias("text")).filter(
+        ~(F.col("first") & F.col("last") & (F.trim(F.regexp_replace("text", r"\s", "")) == "")))
+    ranges = inside.groupBy("path", "start").agg(F.min("at").alias("begins"), F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = materialise(ranges.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0))), "cube-ranges")
+    plain = F.regexp_replace("text", r"^\s+|\s+$", "")
+    value = F.when(~F.col("text").rlike(_PLAIN_VALUE), F.raise_error(F.concat(F.lit("a text value with a comma in "), "path")).cast("string")).when(
+        plain != "null", F.when(F.startswith(plain, F.lit('"')), F.from_json(F.concat(F.lit("["), plain, F.lit("]")), "array<string>")[0]).otherwise(plain))
+    values = inside.join(offsets, ["path", "start"]).select("path", (F.col("offset") + F.col("at") - F.col("begins")).alias("pos"), value.alias("text"))
+    counts = offsets.groupBy("path").agg(F.sum("n").alias("found"))
+    return parsed.join(counts, "path", "left").withColumn("found", F.coalesce("found", F.lit(0))), values
+
+
 def read_pages(spark: SparkSession, path: str, limit: int = 1000, schema: T.StructType | None = None,
                number: str = r"(\d+)[^/\d]*$") -> DataFrame:
     """Records of landed pages in page order, up to the first empty or short page.

@@ -33,6 +33,59 @@ def test_cube_sizes(spark, values, found, flattened, complete):
     assert K.flatten_cube(cube, ("YEAR", "MUN")).count() == flattened
 
 
+def _files(tmp_path, *docs):
+    for i, d in enumerate(docs):
+        (tmp_path / f"{i}.json").write_text(d if isinstance(d, str) else json.dumps(d))
+    return str(tmp_path)
+
+
+def test_cubes_by_byte_ranges_equal_whole_documents(spark, tmp_path):
+    awkward = {**CUBE, "label": 'a, "value":[9], ]', "dimension": {**CUBE["dimension"], "YEAR": {"category": {"index": ["2020", "2021"], "label": {"2020": "y, 20 ]"}}}}}
+    first = {"value": CUBE["value"], **CUBE}
+    docs = [CUBE, json.dumps(CUBE, indent=2), json.dumps(CUBE, separators=(",", ":")), awkward, first, {**CUBE, "value": []}, {**CUBE, "value": [7]},
+            {**CUBE, "value": list(range(9))}, {**CUBE, "status": ["a", "b"]}, {**CUBE, "id": ["YEAR", "NO"]}, {"id": ["YEAR"]}, "not json",
+            {**CUBE, "value": {"0": 1, "3": 2}}, {**CUBE, "value": ['say \\ "x"', -1e-3, True, None]}, json.dumps({**CUBE, "value": []}).replace("[]", "[ \n]")]
+    found, values = documents.scan_cube_values(spark, _files(tmp_path, *docs))
+    number = F.regexp_extract("path", r"(\d+)\.json", 1).cast("int").alias("n")
+    want, sizes, whole = {}, {}, cubes(spark, *docs)
+    for r in whole.select("n", F.posexplode("raw")).collect():
+        want[r.n, r.pos] = r.col
+    assert {(r.n, r.pos): r.text for r in values.select(number, "pos", "text").collect()} == want
+    key = lambda r: tuple("" if v is None else str(v) for v in r)
+    dims = ("YEAR", "MUN", "OTHER")
+    got = K.flatten_cube_values(found, values, dims).select(number, "*").drop("path")
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, K.flatten_cube(whole, dims).collect()), key=key)
+    well = whole.filter(F.size("dims") > 0)
+    sizes = {tuple(r) for r in K.validate_cube_values(found.filter(F.size("dims") > 0)).select(number, "*").drop("path").collect()}
+    assert sizes == {tuple(r) for r in K.validate_cube(well).collect()} and len(sizes) == 11
+
+
+def test_one_cube_is_read_by_many_tasks(spark, tmp_path):
+    """Values keep their places across more than eight byte ranges; every range numbers its own."""
+    n = 400_000
+    cube = {"id": ["A", "B"], "dimension": {"A": {"category": {"index": [str(i) for i in range(400)]}}, "B": {"category": {"index": [str(i) for i in range(1000)]}}},
+            "value": [None if i % 7 == 0 else i for i in range(n)]}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(256 * 1024))
+    try:
+        found, values = documents.scan_cube_values(spark, _files(tmp_path, cube))
+        assert spark.read.option("lineSep", ",").text(str(tmp_path)).rdd.getNumPartitions() >= 8
+        cells = K.flatten_cube_values(found, values, ("A", "B"))
+        at = F.col("A_CODE").cast("int") * 1000 + F.col("B_CODE").cast("int")
+        right = F.when(at % 7 == 0, F.col("VALUE").isNull()).otherwise(F.col("VALUE") == at)
+        assert tuple(cells.agg(F.count(F.lit(1)), F.count_distinct(at), F.count_if(right)).first()) == (n, n, n)
+        assert tuple(K.validate_cube_values(found).drop("path").first()) == (n, n, n, True)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_cubes_that_cannot_be_cut_at_commas_raise(spark, tmp_path):
+    (tmp_path / "a").mkdir(), (tmp_path / "b").mkdir()
+    with pytest.raises(Exception, match="several lists of values"):
+        documents.scan_cube_values(spark, _files(tmp_path / "a", {**CUBE, "extra": {"value": [1]}}))
+    with pytest.raises(Exception, match="a text value with a comma"):
+        documents.scan_cube_values(spark, _files(tmp_path / "b", {**CUBE, "value": ["1,5", 2]}))[1].collect()
+
+
 def test_malformed_cubes_give_nothing(spark):
     broken = [{**CUBE, "id": ["YEAR", "NO"]}, {"id": ["YEAR"]}, "not json", {**CUBE, "dimension": {"YEAR": {}, "MUN": {}}}]
     assert K.flatten_cube(cubes(spark, *broken), ("YEAR", "MUN")).count() == 0
