@@ -2,7 +2,11 @@
 
 A page is read into a tree of block elements; inline elements count as tags of their block. What
 can never be main text goes first: scripts, styles, forms, menus, headers and footers of the page,
-asides, and elements whose class, id or role names an advert, a notice, a sidebar or comments. For
+asides, and elements whose class, id or role names an advert, a notice, a sidebar or comments. A
+class name says so surely only as a whole (``sidebar``, ``cookie-notice``); where it begins or ends with
+such a word (``ad-slot``, ``market-share``), and for a form, what the element holds decides: one that
+holds all articles, all first headings or most of the page's text is a container and stays, and of a
+form only the controls go; a name that merely ends so drops nothing inside an article. For
 every node the composite density is computed, characters per tag weighted by how much of the
 node's text lies in links, relative to the body. A node's sum is the density of its own text and
 of its children. The node with the largest sum is the core; the threshold is the least density on
@@ -40,13 +44,17 @@ _SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("
              "th": ("td", "th"), "thead": ("tbody", "thead"), "tbody": ("tbody", "thead", "tr", "td", "th"), "tfoot": ("tbody", "tr", "td", "th")}
 _WITHIN = frozenset("ul ol dl table select body html".split())  # an implied end never reaches past these
 _DROPPED = frozenset(
-    "script style noscript template iframe object svg math canvas audio video form button select textarea input nav aside footer head title "
+    "script style noscript template iframe object svg math canvas audio video button select textarea input nav aside footer head title "
     "menu dialog xmp noembed noframes".split())
 _HINTS = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion sidebar sidenav menu nav navbar navigation "
     "breadcrumb breadcrumbs footer masthead topbar cookie cookies consent gdpr notice popup modal overlay newsletter subscribe subscription "
     "signup login share sharing social related recommended recommendations comment comments disqus respond complementary contentinfo".split())
+_SURE = frozenset("advert adverts advertisement advertising adsense comments disqus".split())  # in any place of a name
+_READERS = frozenset("comment comments disqus respond".split())
+_STATES = frozenset("has with without no is hide show".split())  # "has-sidebar" is no sidebar
 _MAIN = frozenset(("article", "main"))
+_ENDS, _BEGINS, _NAMED, _GONE = 1, 2, 3, 4  # how surely a name tells that an element is not main text
 
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*+(?:>|\Z)"
@@ -57,7 +65,8 @@ _WORDS = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("name", "parent", "parts", "children", "chars", "tags", "link_chars", "link_tags", "own", "own_density", "dropped", "main", "density", "sum")
+    __slots__ = ("name", "parent", "parts", "children", "chars", "tags", "link_chars", "link_tags", "own", "own_density", "dropped", "main", "density", "sum",
+                 "hint", "inside", "held", "mains", "heads")
 
     def __init__(self, name: str, parent: Node | None, dropped: bool):
         self.name, self.parent, self.dropped = name, parent, dropped
@@ -66,6 +75,8 @@ class Node:
         self.chars = self.link_chars = self.link_tags = self.own = 0
         self.tags = 1
         self.main = name in _MAIN
+        self.hint = self.held = self.mains = self.heads = 0
+        self.inside = self.main or parent is not None and parent.inside
 
 
 def parse(html: str) -> Node:
@@ -150,7 +161,9 @@ def parse(html: str) -> Node:
                 if stack[k][0] in _WITHIN:
                     break
         block = stack[-1][1]
-        node = Node(name, block, block.dropped or name in _DROPPED or _unwanted(name, m[3] or m[6] or "", block))
+        hint = _hint(name, m[3] or m[6] or "", block)
+        node = Node(name, block, block.dropped or name in _DROPPED or hint == _GONE)
+        node.hint = hint
         if node.dropped:
             block.parts.append(None)  # what stood there still separates blocks
         else:
@@ -169,19 +182,64 @@ def parse(html: str) -> Node:
     return root
 
 
-def _unwanted(name: str, attributes: str, block: Node) -> bool:
-    """Whether the element's name or attributes tell that it is not main text."""
+def _hint(name: str, attributes: str, block: Node) -> int:
+    """How surely the element's name or attributes tell that it is not main text; 0: they do not."""
     if name == "header":
         while block and block.name not in _MAIN:
             block = block.parent
         if not block:
-            return True  # of the page, not of an article
+            return _GONE  # of the page, not of an article
+    hint = _BEGINS if name == "form" else 0
     if name in ("main", "table", "tbody", "tr", "td", "h1") or "=" not in attributes:
-        return False
+        return hint
     for m in _HINTED.finditer(attributes):
-        if not _HINTS.isdisjoint(_WORDS.findall((m[1] or m[2] or m[3] or "").lower())):
-            return True
-    return False
+        for token in (m[1] or m[2] or m[3] or "").lower().split():
+            words = _WORDS.findall(token)
+            if _HINTS.isdisjoint(words) or words[0] in _STATES:
+                continue
+            if _HINTS.issuperset(words):
+                return _GONE if not _READERS.isdisjoint(words) else _NAMED
+            hint = max(hint, _NAMED if not _SURE.isdisjoint(words) else _BEGINS if words[0] in _HINTS else _ENDS)
+    return hint
+
+
+def _weigh(nodes: list[Node]) -> None:
+    """Per kept node: characters, articles and first headings that it holds."""
+    for node in nodes:
+        node.held, node.mains, node.heads = node.own, int(node.main), int(node.name == "h1")
+    for node in reversed(nodes):
+        if node.parent and not node.dropped:
+            p = node.parent
+            p.held += node.held
+            p.mains += node.mains
+            p.heads += node.heads
+
+
+def _prune(root: Node) -> None:
+    """Drop elements by their names, but for those that hold what the page is about.
+
+    A whole name drops its element unless all articles of the page lie in it. A name in parts, or
+    a form, counts less than holding all articles, or where there is none all first headings, or
+    more than half of the text that whole names leave.
+    """
+    nodes = _nodes(root)
+    if not any(node.hint for node in nodes):
+        return
+    _weigh(nodes)
+    for node in nodes:
+        node.dropped = node.hint == _NAMED and not (node.mains and node.mains == root.mains)
+    _weigh(nodes)
+    for node in nodes:
+        if node.hint in (_BEGINS, _ENDS) and not (node.hint == _ENDS and node.parent.inside):
+            if root.mains:
+                holds = node.mains == root.mains
+            else:
+                holds = root.heads and node.heads == root.heads or 2 * node.held > root.held
+            node.dropped = node.dropped or not holds
+    for node in nodes:
+        if any(child.dropped for child in node.children):
+            node.children = [child for child in node.children if not child.dropped]
+            node.parts = [None if isinstance(part, Node) and part.dropped else part for part in node.parts]
 
 
 def _nodes(root: Node) -> list[Node]:
@@ -267,7 +325,11 @@ def text_of_content(root: Node) -> str:
 
 
 def main_text(html: str | None) -> str:
-    return text_of_content(parse(html)) if html else ""
+    if not html:
+        return ""
+    root = parse(html)
+    _prune(root)
+    return text_of_content(root)
 
 
 def extract(pages: DataFrame, id_column: str = "page_id", html: str = "html", url: str = "url") -> DataFrame:

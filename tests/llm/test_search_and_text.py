@@ -1,5 +1,6 @@
 """Nearest neighbours, page text, fuzzy lines."""
 
+import math
 import random
 
 import numpy as np
@@ -98,6 +99,71 @@ def test_main_text_of_pages(spark):
     assert pages.extract(df.limit(0)).collect() == []
 
 
+_STORY = "<h1>Head</h1>" + "".join(f"<p>Line {k} of the story, long enough to read.</p>" for k in range(4))
+_LINES = "\n".join(["Head", *[f"Line {k} of the story, long enough to read." for k in range(4)]])
+
+
+@pytest.mark.parametrize("html", [
+    f"<body><nav><a href=x>Home</a></nav><article class='post has-sidebar'>{_STORY}</article></body>",
+    f"<body><div class='content with-sidebar'>{_STORY}</div><div class='sidebar'><article class=teaser>Other news</article></div></body>",
+    f"<body><form id=aspnetForm><input name=q><div>{_STORY}</div><button>Go</button></form></body>",
+    f"<body><form><div class='ad-layout'><main>{_STORY}</main><div class='ad-slot'>Buy</div></div></form></body>",
+    f"<body><div id='page-sidebar'><div>{_STORY}</div></div><div class='cookie-notice'>{'We use cookies. ' * 60}</div></body>",
+    f"<body><article>{_STORY.replace('<p>Line 1', '<section class=market-share><p>Line 1').replace('<p>Line 2', '</section><p>Line 2')}</article></body>",
+    f"<body><article>{_STORY}<form><p>Write to us</p></form><div class='ad-slot'>Buy</div><div class='post-comments'><p>So true.</p></div></article></body>",
+    f"<body><div class=banner><article class='post promo'>{_STORY}</article></div><section id=comments><article class=comment>{'Nice. ' * 90}</article></section></body>",
+])
+def test_names_do_not_outrank_what_an_element_holds(html):
+    assert pages.main_text(html) == _LINES
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_densities_equal_a_plain_recursion(seed):
+    rng = random.Random(seed)
+
+    def grow(depth):
+        parts = []
+        for _ in range(rng.randint(0, 4)):
+            kind = rng.choice("tlbd" if depth < 4 else "tl")
+            parts.append({"t": lambda: ("text", rng.randint(1, 30)), "l": lambda: ("link", rng.randint(1, 12)),
+                          "b": lambda: ("bold", rng.randint(1, 9)), "d": lambda: ("div", grow(depth + 1))}[kind]())
+        return parts
+
+    def markup(parts):
+        form = {"text": "{}", "link": "<a href=x>{}</a>", "bold": "<b>{}</b>", "div": "<div>{}</div>"}
+        return " ".join(form[k].format(markup(v) if k == "div" else "x" * v) for k, v in parts)
+
+    def totals(parts):
+        """Characters, tags, characters in links, links of an element, itself one tag."""
+        c, t, lc, lt = 0, 1, 0, 0
+        for k, v in parts:
+            add = totals(v) if k == "div" else (v, k != "text", v * (k == "link"), k == "link")
+            c, t, lc, lt = c + add[0], t + add[1], lc + add[2], lt + add[3]
+        return c, t, lc, lt
+
+    def density(c, t, lc, lt, body):
+        if not c:
+            return 0.0
+        return c / t * math.log(1 + c / max(lc, 1) * t / max(lt, 1)) / math.log(1 + math.log(c * lc / max(1, c - lc) + body * c + math.e))
+
+    whole = [("div", grow(1)) for _ in range(3)]
+    root = pages.parse(markup(whole))
+    pages.content(root)
+    c, _, lc, _ = totals(whole)
+    body = lc / max(1, c)
+
+    def same(node, parts):
+        divs = [v for k, v in parts if k == "div"]
+        assert len(divs) == len(node.children)
+        assert node.density == pytest.approx(density(*totals(parts), body))
+        own = totals([p for p in parts if p[0] != "div"])
+        assert node.sum == pytest.approx(density(*own, 0.0) + sum(density(*totals(v), body) for v in divs))
+        for child, v in zip(node.children, divs):
+            same(child, v)
+
+    same(root, whole)
+
+
 def test_dense_siblings_of_the_core_are_kept():
     block = lambda name, n: "".join(f"<p>{name}{k} {'word ' * 20}</p>" for k in range(n))
     links = "<ul>" + "".join(f"<li><a href=x>go {k}</a></li>" for k in range(6)) + "</ul>"
