@@ -75,7 +75,7 @@ class _Parts(_Generations):
         self.words = _Words(tokenizer.model)
 
     def make(self, part: str) -> bytes:
-        if not (self.find and len(part) <= _CACHED and _PLAIN(part)):
+        if not (len(part) <= _CACHED and _PLAIN(part)):
             return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
         low, words = part.lower(), self.words
         if low.isalpha():
@@ -86,28 +86,36 @@ class _Parts(_Generations):
 
 
 class WordIds:
-    """Texts to their ids as little-endian unsigned 32-bit integers."""
+    """Texts to their ids as little-endian unsigned 32-bit integers, as the library's own call gives them.
+
+    A text that writes out one of the vocabulary's added tokens gets that token's id. Such a text, and
+    every text under a vocabulary that does not split in the known way, is encoded by the library whole.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known = _Parts(self.tokenizer, _splitter(path))
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.added = [t["content"] for t in spec["added_tokens"]]
+        find = None if any(t["normalized"] for t in spec["added_tokens"]) else _splitter(spec)
+        self.known = _Parts(self.tokenizer, find) if find else None
 
     def encode(self, text: str | None) -> bytes:
         """The ids of a text; a null text has none."""
+        text = text or ""
+        if not self.known or any(t in text for t in self.added):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         self.known.turn()
         self.known.words.turn()
-        parts = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        parts = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         return b"".join(map(self.known.__getitem__, parts))
 
 
-def _splitter(path: str):
+def _splitter(spec: dict):
     """The vocabulary's own split into words, if it normalises and splits in the known way."""
-    with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
     normal = [(n["type"], n.get("pattern"), n.get("content")) for n in (spec["normalizer"] or {}).get("normalizers", [])]
     steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
     known = normal == [("NFC", None, None), ("Replace", {"Regex": r"\s+"}, " "), ("Lowercase", None, None)] and len(steps) == 2 \

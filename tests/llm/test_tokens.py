@@ -18,7 +18,6 @@ from terraloom.llm import bytebpe, packing, repair
 from terraloom.llm.tokens import WordIds, word_vocabulary
 
 TOKENIZER = Tokenizer.from_file(word_vocabulary())
-TOKENIZER.encode_special_tokens = True
 RANKS = bytebpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 TIKTOKEN = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
 TABLE = bytebpe.perfect_hash(RANKS)
@@ -40,10 +39,20 @@ test_ids_by_parts_equal_ids_of_the_whole_text.words = WordIds(word_vocabulary())
 
 
 def test_word_ids_of_whole_texts():
-    texts = [t for _, t in EDGES] + ["special <|endoftext|> inside", "a b"]
+    texts = [t for _, t in EDGES] + ["special <|endoftext|> inside", "<|startoftext|>x<|endoftext|>", "<|endoftext", "<|ENDOFTEXT|>", "a b"]
+    assert 49407 in plain_ids(texts[-5])
     assert [np.frombuffer(x, "<u4").tolist() for x in map(WordIds(word_vocabulary()).encode, texts)] == [plain_ids(t) for t in texts]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_word_ids_under_any_vocabulary(name):
+    """A byte-level vocabulary has tokens that begin with a blank: its texts are not cut at blanks."""
+    path = public_tokenizers.path(name)
+    own = Tokenizer.from_file(path)
+    texts = ["the cat sat", " the  cat\n\nsat ", "l'été <|endoftext|> à l'eau", "", "x" * 5000, None]
+    assert [np.frombuffer(WordIds(path).encode(t), "<u4").tolist() for t in texts] == [own.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
 def check_packing(rows, pieces, window):
     ids = defaultdict(list)
     for i, t in rows:
