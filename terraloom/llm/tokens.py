@@ -106,7 +106,7 @@ class WordIds:
     def encode(self, text: str | None) -> bytes:
         """The ids of a text; a null text has none."""
         text = text or ""
-        if not self.known or any(t in text for t in self.added):
+        if self.known is None or any(t in text for t in self.added):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         self.known.turn()
         self.known.words.turn()
