@@ -2,6 +2,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from terraloom.operators import spatial as SP
 
@@ -96,3 +97,18 @@ def test_points_empty_rings_and_missing_coordinates(spark):
 
 def test_nothing_in_nothing_out(spark):
     assert SP.spatial_neighbors(frame(spark, {"a": square(0, 0)}).filter("id = 'x'"), "id").count() == 0
+
+
+def test_edges_never_travel_through_the_driver(spark):
+    """The estimate of a few polygons says nothing about their edges, so no join may be a broadcast."""
+    df = spark.read.parquet("/root/testdata/sf0.001/customer.parquet").select(F.col("c_name").alias("id"), F.expr(
+        "array(transform(sequence(0, 3), k -> struct(double(c_custkey + k % 2) x, double(k div 2) y))) rings"))
+    plan = SP.spatial_neighbors(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and plan.count("SortMergeJoin") == 3
+
+
+def test_rows_of_one_id_are_one_polygon(spark):
+    """Two parts inside the same polygon must not count as one ray with two crossings."""
+    outer, inner = square(0, 0, 100), [square(20, 20, 5), square(60, 60, 5)]
+    df = frame(spark, {"outer": outer}).unionByName(frame(spark, {"m": inner[0]})).unionByName(frame(spark, {"m": inner[1]}))
+    assert {tuple(r) for r in SP.spatial_neighbors(df).collect()} == {("m", "outer"), ("outer", "m")}
