@@ -55,8 +55,8 @@ def attach_to_polygons(polys: DataFrame, df: DataFrame, poly_key: str, key: str)
 
 
 def with_geometry(dim: DataFrame, polys: DataFrame, on: str = "municipality_id") -> DataFrame:
-    """Dimension rows that have a geometry."""
-    return dim.join(polys, on, "inner")
+    """Dimension rows that have a geometry; estimates know nothing of the rings, so they are never broadcast."""
+    return dim.join(polys.hint("merge"), on, "inner")
 
 
 def join_embeddings(df: DataFrame, vectors: DataFrame, on: str = "municipality_id") -> DataFrame:

@@ -54,3 +54,11 @@ def test_landed_streams_read_every_order_and_nothing_behind_the_end(spark):
         got = entry.queries()["landed_streams"](spark, sf).collect()
         assert sum(r.rows for r in got) == spark.read.parquet(f"{sf}/orders.parquet").count()
         assert all(r.c != "stale" for r in got) and max(r.page for r in got) >= 1
+
+
+def test_a_dimension_row_with_several_polygons_is_one_row(spark, tmp_path):
+    """Customers beyond 99,999 share the five characters of others; the row of the dimension stays one."""
+    spark.range(1).selectExpr("10000L c_custkey").union(spark.range(100_000, 100_010)).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.read.parquet(f"{SF}/events.parquet").limit(1).selectExpr("* except (user_id)", "10000L user_id").write.parquet(f"{tmp_path}/events.parquet")
+    spark.read.parquet(f"{SF}/nation.parquet").write.parquet(f"{tmp_path}/nation.parquet")
+    assert [tuple(r) for r in entry.queries()["with_geometry"](spark, str(tmp_path)).collect()] == [("10000", "M10000", 1)]
