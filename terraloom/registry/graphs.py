@@ -263,8 +263,8 @@ def _(spark, sf):
         F.concat(F.lit("x"), "c_name").alias("question_id"), F.col("c_name").alias("label"), null.alias("via"), null.alias("where_p"),
         null.alias("where_o"), F.lit(vocab.NS + "isNeighborOf").alias("predicate"))
     found = retrieval.retrieve_context(near.unionByName(count).unionByName(unknown), graph)
-    has = found.join(near.unionByName(count).select("question_id"), "question_id", "left_semi").filter(F.col("context") != retrieval.INSUFFICIENT)
-    return has.unionByName(found.join(unknown.select("question_id"), "question_id", "left_semi"))
+    of = lambda asked: found.join(asked.select("question_id").hint("merge"), "question_id", "left_semi")  # noqa: E731  (as many as customers)
+    return of(near.unionByName(count)).filter(F.col("context") != retrieval.INSUFFICIENT).unionByName(of(unknown))
 
 
 @query("query_prompts", f"""select c_custkey, 'Question: Who is ' || c_name || '?' || chr(10) || 'Query:' || chr(10) as tail, true as guided, {len(retrieval.GRAPH_GUIDE)} as guide_lines from customer""")

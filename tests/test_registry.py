@@ -2,6 +2,7 @@
 
 import glob
 import os
+import re
 
 import pytest
 
@@ -62,3 +63,8 @@ def test_a_dimension_row_with_several_polygons_is_one_row(spark, tmp_path):
     spark.read.parquet(f"{SF}/events.parquet").limit(1).selectExpr("* except (user_id)", "10000L user_id").write.parquet(f"{tmp_path}/events.parquet")
     spark.read.parquet(f"{SF}/nation.parquet").write.parquet(f"{tmp_path}/nation.parquet")
     assert [tuple(r) for r in entry.queries()["with_geometry"](spark, str(tmp_path)).collect()] == [("10000", "M10000", 1)]
+
+
+def test_questions_are_never_sent_through_the_driver(spark):
+    text = plan(entry.queries()["retrieval_context"](spark, SF))
+    assert len(re.findall(r"SortMergeJoin \[question_id#\d+\], \[question_id#\d+\], LeftSemi", text)) == 2
