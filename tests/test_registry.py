@@ -68,3 +68,15 @@ def test_a_dimension_row_with_several_polygons_is_one_row(spark, tmp_path):
 def test_questions_are_never_sent_through_the_driver(spark):
     text = plan(entry.queries()["retrieval_context"](spark, SF))
     assert len(re.findall(r"SortMergeJoin \[question_id#\d+\], \[question_id#\d+\], LeftSemi", text)) == 2
+
+
+@pytest.mark.parametrize("name", ["datapoint_triples", "adjacency_triples", "knowledge_graph", "relation_round_trip", "query_entity_indicator",
+                                  "query_entity_year", "query_neighbors", "query_province_neighbors", "query_top_of_comarca"])
+def test_tables_that_grow_are_never_sent_through_the_driver(spark, monkeypatch, name):
+    """Files say little about the size of rows, so only nations, their regions and the keys of over-long lists may be broadcast."""
+    seen = []
+    monkeypatch.setattr("terraloom.sources.relations.write_relations", lambda lines, path: (seen.append(lines), lines.write.text(path)))
+    df = entry.queries()[name](spark, SF)
+    text = plan(seen[0] if seen else df)
+    by = {re.sub(r"#\d+L?", "", keys) for keys in re.findall(r"BroadcastHashJoin (\[[^]]*\])", text)}
+    assert "SortMergeJoin" in text and by <= {"[c_nationkey]", "[n_nationkey]", "[(user_id % 25)]", "[n_regionkey]", "[comarca_name]", "[id, name]"}
