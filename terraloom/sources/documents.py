@@ -118,9 +118,19 @@ def read_page_streams(spark: SparkSession, path: str, stream: str | None, limit:
     one stream. Each stream follows the rules of :func:`read_pages` by itself. The sizes of all pages
     are written once, and both the checks and the ends of the streams come from them by aggregates.
     """
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+    return page_streams(files, stream, limit, schema, number)
+
+
+def page_streams(landed: DataFrame, stream: str | None, limit: int = 1000, schema: T.StructType | None = None,
+                 number: str = r"(\d+)[^/\d]*$") -> DataFrame:
+    """:func:`read_page_streams` of pages landed as rows ``path, value``.
+
+    A folder takes a listing, an open file and a rename for every page; many small pages are better kept in one table.
+    """
     record = schema or T.StructType([T.StructField(f.name, T.StringType()) for f in schemas.RENT.fields])
-    where = F.col("_metadata.file_path")
-    pages = spark.read.text(path, wholetext=True).select(
+    where = F.col("path")
+    pages = landed.select(
         (F.regexp_extract(where, stream, 1) if stream else F.lit("")).alias("stream"),
         F.regexp_extract(where, number, 1).try_cast("long").alias("page"),
         F.when(F.col("value").rlike(r"^\s*\[[\s\S]*\]\s*$"), F.from_json("value", T.ArrayType(record), {"mode": "PERMISSIVE"})).alias("records"),

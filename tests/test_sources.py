@@ -1,4 +1,5 @@
 import json
+import os
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -243,3 +244,23 @@ def test_deep_trees_end_where_their_nodes_do(spark):
         node = {"scheme": "mun", "id": f"m{level}", "v": node if level % 2 else [node, {"scheme": "com", "id": f"c{level}"}]}
     docs = spark.createDataFrame([(json.dumps({"fitxes": {"v": node}}),), (None,), ("{}",), ("broken",)], "doc string")
     assert [r.id for r in documents.flatten_tree(docs, "doc", "mun").collect()] == sorted(["deepest", *[f"m{n}" for n in range(12)]])
+
+
+def test_pages_as_rows_follow_the_rules_of_files(spark):
+    body = lambda *names: json.dumps([{"codi_territorial": n} for n in names])
+    rows = [("s=a/p=0", body("a0", "a1")), ("s=a/p=1", body("a2")), ("s=a/p=2", body("stale")), ("s=b/p=0", body("b0", "b1")), ("s=b/p=1", "[]"), ("s=b/p=2", body("stale"))]
+    got = documents.page_streams(spark.createDataFrame(rows, "path string, value string"), r"s=(\w+)", limit=2, number=r"p=(\d+)")
+    assert sorted((r.stream, r.page, r.position, r.codi_territorial) for r in got.collect()) == [
+        ("a", 0, 0, "a0"), ("a", 0, 1, "a1"), ("a", 1, 0, "a2"), ("b", 0, 0, "b0"), ("b", 0, 1, "b1")]
+    with pytest.raises(ValueError):
+        documents.page_streams(spark.createDataFrame([*rows, ("s=a/p=1", body())], "path string, value string"), r"s=(\w+)", limit=2, number=r"p=(\d+)")
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="needs the given tables")
+@pytest.mark.parametrize("name", ["landed_pages", "landed_streams"])
+def test_landed_pages_take_no_file_each(spark, monkeypatch, name):
+    import __spark_entry__ as entry
+    held = []
+    monkeypatch.setattr(documents, "page_streams", lambda landed, *args, _of=documents.page_streams, **more: held.append(landed) or _of(landed, *args, **more))
+    assert entry.queries()[name](spark, "/root/testdata/sf0.001").count()
+    assert len(held[0].inputFiles()) <= 8
