@@ -25,6 +25,8 @@ from terraloom.session import cut_lineage, remove_table
 
 TRIPLE = ["s", "p", "o"]
 _BROADCAST_BYTES = 64 * 1024 * 1024
+_BROADCAST_NAMES = 100_000  # relations whose ids are sent to every task
+_COVER_ROWS = 500_000  # triples of which a task sorts the members
 _UNIT_MODELS = ("TransE", "TransH", "TransR")  # entity vectors are kept at length one
 
 
@@ -47,13 +49,19 @@ def dense_ids(df: DataFrame, col: str, out: str = "id") -> DataFrame:
 
 
 def index_triples(triples: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Triples as ids ``h, r, t``, the entities ``label, id`` and the relations ``label, id``."""
+    """Triples as ids ``h, r, t``, the entities ``label, id`` and the relations ``label, id``.
+
+    Few relations hold all triples, so that a shuffle by them would make tasks of a whole relation: theirs
+    are broadcast up to a bound. Entities are met by a shuffle.
+    """
     entities = dense_ids(triples.select(F.explode(F.array("s", "o")).alias("label")), "label")
     relations = dense_ids(triples.select(F.col("p").alias("label")), "label")
     named = lambda table, key, out: table.select(F.col("label").alias(key), F.col("id").alias(out))
+    kinds = named(relations, "p", "r")
     mapped = (triples.select(*TRIPLE).distinct()
-              .join(named(entities, "s", "h"), "s").join(named(relations, "p", "r"), "p")
-              .join(named(entities, "o", "t"), "o").select("h", "r", "t"))
+              .join(F.broadcast(kinds) if relations.count() <= _BROADCAST_NAMES else kinds, "p")
+              .join(named(entities, "s", "h").hint("merge"), "s")
+              .join(named(entities, "o", "t").hint("merge"), "o").select("h", "r", "t"))
     return mapped, entities, relations
 
 
@@ -67,9 +75,12 @@ def split_triples(triples: DataFrame, weights: Sequence[int] = (8, 1, 1), seed:
     """Column ``split``: train, validation or test by the MD5 of the triple and the seed.
 
     One triple of every entity and of every relation is always in train, so nothing is ranked
-    that was never trained. The choice is the least triple each, found by a combining aggregate.
+    that was never trained. The choice is the least triple each, found by a combining aggregate. An
+    aggregate of texts sorts its rows, so the distinct triples are written once and dealt to as many
+    tasks as their number needs.
     """
-    rows = triples.select(*TRIPLE).distinct()
+    rows = cut_lineage(triples.select(*TRIPLE).distinct())
+    tasks = max(1, math.ceil(rows.count() / _COVER_ROWS))
     digest = F.md5(F.concat_ws("\t", *TRIPLE, F.lit(str(seed))))
     bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % sum(weights)
     row = F.struct(*TRIPLE)
@@ -77,10 +88,10 @@ def split_triples(triples: DataFrame, weights: Sequence[int] = (8, 1, 1), seed:
         F.struct(F.lit("e").alias("kind"), F.col("s").alias("name")),
         F.struct(F.lit("e").alias("kind"), F.col("o").alias("name")),
         F.struct(F.lit("r").alias("kind"), F.col("p").alias("name")))).alias("member")
-    cover = (rows.select(member, row.alias("t")).groupBy("member").agg(F.min("t").alias("t"))
+    cover = (rows.repartition(tasks, *TRIPLE).select(member, row.alias("t")).groupBy("member").agg(F.min("t").alias("t"))
              .select("t.*").distinct().withColumn("_cover", F.lit(True)))
     drawn = F.when(bucket < weights[0], "train").when(bucket < weights[0] + weights[1], "validation").otherwise("test")
-    return rows.join(cover, TRIPLE, "left").select(
+    return rows.join(cover.hint("merge"), TRIPLE, "left").select(
         *TRIPLE, F.when(F.col("_cover"), "train").otherwise(drawn).alias("split"))
 
 
@@ -519,9 +530,10 @@ def message_pass(vectors: DataFrame, triples: DataFrame, weights: dict[str, np.n
     """One layer of relational aggregation: ``label, vec``.
 
     Each entity receives, per relation, the mean of its sources' vectors, transformed by that
-    relation's matrix (identity by default), and sums over relations.
+    relation's matrix (identity by default), and sums over relations. A mean of vectors sorts its
+    rows, so these are first dealt by receiver in parts of a measured size; a hot receiver has several.
     """
-    sent = triples.join(vectors.select(F.col("label").alias("s"), "vec"), "s")
+    sent = triples.join(vectors.select(F.col("label").alias("s"), "vec").hint("merge"), "s").hint("rebalance", F.col("o"))
     means = sent.groupBy("o", "p").agg(Summarizer.mean(array_to_vector("vec")).alias("mean"))
     rows = means.select("o", "p", vector_to_array("mean").alias("vec"))
     if weights:
@@ -571,9 +583,9 @@ def grid_split(triples: DataFrame) -> DataFrame:
 
     What is tested or validated is a given triple, and its own reverse is never trained.
     """
-    split = split_triples(triples)
-    train = add_inverses(split.filter(F.col("split") == "train")).withColumn("split", F.lit("train"))
-    return train.unionByName(split.filter(F.col("split") != "train"))
+    own = F.struct(*TRIPLE, "split")
+    reverse = F.struct(F.col("o").alias("s"), F.concat("p", F.lit("_inverse")).alias("p"), F.col("s").alias("o"), "split")
+    return split_triples(triples).select(F.inline(F.when(F.col("split") == "train", F.array(own, reverse)).otherwise(F.array(own))))
 
 
 def train_experiment(spark: SparkSession, split: DataFrame, model: str, dim: int, path: str, force: bool = False, **options) -> DataFrame:

@@ -80,3 +80,19 @@ def test_tables_that_grow_are_never_sent_through_the_driver(spark, monkeypatch,
     text = plan(seen[0] if seen else df)
     by = {re.sub(r"#\d+L?", "", keys) for keys in re.findall(r"BroadcastHashJoin (\[[^]]*\])", text)}
     assert "SortMergeJoin" in text and by <= {"[c_nationkey]", "[n_nationkey]", "[(user_id % 25)]", "[n_regionkey]", "[comarca_name]", "[id, name]"}
+
+
+@pytest.mark.parametrize("name, wanted", [("score_transe", r"BroadcastHashJoin \[p#"), ("index_triples", r"BroadcastHashJoin \[p#"), ("split_triples", "REPARTITION_BY_NUM"),
+                                          ("grid_split", "REPARTITION_BY_NUM"), ("message_pass", "REBALANCE_PARTITIONS_BY_COL"), ("message_pass_weighted", "REBALANCE_PARTITIONS_BY_COL")])
+def test_links_are_dealt_by_entities_and_in_bounded_parts(spark, name, wanted):
+    """No task holds a relation, no table of entities is broadcast, and aggregates that sort get parts of a bounded size."""
+    text = plan(entry.queries()[name](spark, SF))
+    assert re.search(wanted, text)
+    assert not re.search(r"SortMergeJoin \[p#\d+\],", text) and not re.search(r"BroadcastHashJoin \[(?!p#|_part#)", text)
+
+
+def test_split_in_many_tasks_is_the_same(spark, monkeypatch):
+    rows = lambda name: sorted(tuple(r) for r in entry.queries()[name](spark, SF).collect())
+    before = {name: rows(name) for name in ("split_triples", "grid_split")}
+    monkeypatch.setattr("terraloom.operators.embeddings._COVER_ROWS", 300)
+    assert {name: rows(name) for name in before} == before and len(before["grid_split"]) > len(before["split_triples"])
