@@ -132,3 +132,15 @@ def test_buckets_grow_with_vectors_and_triples():
     assert W.buckets_needed(1000, 10_000, 64) == 1
     assert W.buckets_needed(10_000_000, 10_000, 64) == 153
     assert W.buckets_needed(1000, 400_000_000, 64) == 10
+
+
+def test_many_triples_are_shared_among_tasks(spark):
+    assert W.buckets_dealt(1000, 10_000, 64) == 1 and W.buckets_dealt(1000, 400_000_000, 64) == 10
+    assert W.buckets_dealt(96_000, 3_500_000, 64) == 8  # one task made all the steps of an epoch
+    buckets, pairs = 8, W.tournament(8)[0]
+    triples = spark.range(400).selectExpr("cast(id % 4 as int) pair", "id % 4 + 8 * (id % 5) h", "0l r", "7 - id % 4 + 8 * (id % 5) t", "id draw")
+    params = frame(spark, start("TransE", 40, 4))
+    used = spark.range(4).selectExpr("cast(id as int) pair", "0l r")
+    done = W.train_round(params, triples, used, pairs, buckets, "TransE", 8, 1.0, 0.1, ("e",))
+    tasks = [r.n for r in done.where("kind = 'loss'").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert tasks == [1] * 4  # a pair each
