@@ -7,6 +7,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from terraloom.registry import graphs
 from tools.check import bag
 
 SF = "/root/testdata/sf0.001"
@@ -96,3 +97,11 @@ def test_split_in_many_tasks_is_the_same(spark, monkeypatch):
     before = {name: rows(name) for name in ("split_triples", "grid_split")}
     monkeypatch.setattr("terraloom.operators.embeddings._COVER_ROWS", 300)
     assert {name: rows(name) for name in before} == before and len(before["grid_split"]) > len(before["split_triples"])
+
+
+@pytest.mark.parametrize("name", ["links", "transe", "transh", "transr", "rotate", "complex", "distmult"])
+def test_line_items_meet_only_orders(spark, name):
+    """Tails without a vector go after the links are made: dealing every line item by its supplier as well costs more than the links."""
+    df = graphs._vector_links(spark, SF) if name == "links" else entry.queries()[f"score_{name}"](spark, SF)
+    joins = [line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join " in line]
+    assert any("o_orderkey" in j for j in joins) and not any("l_suppkey" in j for j in joins)
