@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from terraloom import vocab
 from terraloom.functions import scoring
 from terraloom.operators import embeddings as E
+from terraloom.operators.ranking import count_better
 
 TRIPLE = "s string, p string, o string"
 
@@ -91,6 +92,36 @@ def test_ranks_match_brute_force(spark, model):
     assert got == brute_ranks(model, rows, test, known)
 
 
+@pytest.mark.parametrize("model", scoring.MODELS)
+@pytest.mark.parametrize("size", [1e-20, 1.0, 1e20])
+def test_counts_settle_scores_closer_than_single_precision_tells(model, size):
+    """Entities that differ from the answer in the tenth digit, or not at all, at every size of vectors."""
+    rng = np.random.default_rng(5)
+    w = scoring.widths(model, 8)
+    block = np.repeat(rng.normal(size=(6, w.entity)), 5, axis=0)
+    block[1::5] *= 1 + 1e-10
+    block[2::5] *= 1 - 1e-10
+    block *= size
+    anchors = block[[0, 7]].copy()
+    r = rng.normal(size=w.relation) * (size if model not in ("RotatE", "DistMult", "ComplEx") else 1.0)
+    x = rng.normal(size=w.extra) / np.sqrt(w.extra) if w.extra else None
+    many = lambda v, n: None if v is None else np.broadcast_to(v, (n, len(v)))
+    for side in ("head", "tail"):
+        score = lambda a, b: scoring.score(model, *((a, many(r, len(a)), b) if side == "tail" else (b, many(r, len(a)), a)), many(x, len(a)))
+        query, answer = np.repeat([0, 1], 30), np.tile(np.arange(30), 2)
+        own, known = score(anchors[query], block[answer]), [np.array([3, 9]), np.array([], int)]
+        better, equal = count_better(model, side, anchors, r, x, block, known, query, own)
+        for k, (q, mine) in enumerate(zip(query.tolist(), own)):
+            rest = np.setdiff1d(np.arange(30), known[q])
+            all_scores = score(np.repeat(anchors[[q]], len(rest), axis=0), block[rest])
+            assert (better[k], equal[k]) == ((all_scores > mine).sum(), (all_scores == mine).sum())
+
+
+def test_ranking_has_tasks_for_every_core_and_bounded_batches():
+    assert E._batch_count(40_000, 1, 65_536, 8) == 24 and E._batch_count(2_500, 1, 65_536, 8) == 3
+    assert E._batch_count(2_000_000, 10, 65_536, 12) == 31 and E._batch_count(0, 1, 65_536, 8) == 1
+
+
 def test_tied_scores_get_the_middle_rank(spark):
     same = [("e", i, f"e{i}", [1.0, 1.0]) for i in range(5)] + [("r", 0, "p", [1.0, 1.0])]
     params = spark.createDataFrame(same, "kind string, id long, label string, vec array<double>")
