@@ -185,14 +185,14 @@ class _Relations:
     def __init__(self, table: dict[str, tuple[np.ndarray, np.ndarray]] | None, has_extra: bool):
         self.table, self.has_extra = table, has_extra
 
-    def vectors(self, pdf: pd.DataFrame, kind: str, column: str) -> np.ndarray:
+    def vectors(self, batch: pa.RecordBatch, kind: str, column: str) -> np.ndarray:
         if self.table is None:
-            return _stack(pdf[column])
+            return _rows(batch.column(column))
         ids, rows = self.table[kind]
-        return rows[np.searchsorted(ids, pdf["r"].to_numpy())]
+        return rows[np.searchsorted(ids, batch.column("r").to_numpy())]
 
-    def of(self, pdf: pd.DataFrame):
-        return self.vectors(pdf, "r", "rv"), self.vectors(pdf, "x", "xv") if self.has_extra else None
+    def of(self, batch: pa.RecordBatch):
+        return self.vectors(batch, "r", "rv"), self.vectors(batch, "x", "xv") if self.has_extra else None
 
 
 def _relation_table(params: DataFrame, rows: int, width: scoring.Widths):
@@ -206,39 +206,71 @@ def _relation_table(params: DataFrame, rows: int, width: scoring.Widths):
     return table
 
 
-def _batch_gradients(model: str, margin: float, relations: _Relations, slice_rows: int):
-    """Loss and gradients of a batch, summed per parameter before they leave the task."""
-    def one(pdf: pd.DataFrame):
-        h, t, n = (_stack(pdf[c]) for c in ("hv", "tv", "nv"))
-        r, x = relations.of(pdf)
-        head = pdf["corrupt_head"].to_numpy(dtype=bool)
+def _rows(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Parameter ids once each, with the sums of their gradients."""
+    keys, grads = (np.concatenate(p) for p in zip(*parts))
+    order = np.argsort(keys, kind="stable")
+    keys, first = np.unique(keys[order], return_index=True)
+    return keys, np.add.reduceat(grads[order], first, axis=0)
+
+
+_HELD_NUMBERS = 8_000_000  # numbers of gradients that a task holds before it sums them, or lets them go
+
+
+def _batch_gradients(model: str, margin: float, relations: _Relations, slice_rows: int, held_numbers: int = _HELD_NUMBERS):
+    """Loss and gradients of a task's triples, summed per parameter before they leave it as far as a bound of memory allows."""
+    def one(batch: pa.RecordBatch):
+        h, t, n = (_rows(batch.column(c)) for c in ("hv", "tv", "nv"))
+        r, x = relations.of(batch)
+        head = batch.column("corrupt_head").to_numpy(zero_copy_only=False).astype(bool)
         h2, t2 = np.where(head[:, None], n, h), np.where(head[:, None], t, n)
         loss = margin - scoring.score(model, h, r, t, x) + scoring.score(model, h2, r, t2, x)
         active = loss > 0
-        yield pd.DataFrame({"kind": ["loss"], "id": [0], "grad": [[float(loss[active].sum())]], "rows": [len(pdf)]})
         if not active.any():
-            return
+            return 0.0, []
         pos = scoring.gradients(model, h, r, t, x)
         neg = scoring.gradients(model, h2, r, t2, x)
-        ids = {c: pdf[c].to_numpy() for c in ("h", "r", "t", "n")}
+        ids = {c: batch.column(c).to_numpy() for c in ("h", "r", "t", "n")}
         moves = [("e", ids["h"], -pos[0]), ("e", ids["t"], -pos[2]), ("r", ids["r"], neg[1] - pos[1]),
                  ("e", np.where(head, ids["n"], ids["h"]), neg[0]), ("e", np.where(head, ids["t"], ids["n"]), neg[2])]
         if x is not None:
             moves.append(("x", ids["r"], neg[3] - pos[3]))
-        for kind in ("e", "r", "x"):
-            mine = [(k[active], g[active]) for name, k, g in moves if name == kind]
-            if not mine:
-                continue
-            keys, at = np.unique(np.concatenate([k for k, _ in mine]), return_inverse=True)
-            grads = np.concatenate([g for _, g in mine])
-            total = np.zeros((len(keys), grads.shape[1]))
-            np.add.at(total, at, grads)
-            yield pd.DataFrame({"kind": kind, "id": keys, "grad": list(total), "rows": 0})
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for start in range(0, len(pdf), slice_rows):
-                yield from one(pdf.iloc[start:start + slice_rows])
+        kinds = dict.fromkeys(name for name, _, _ in moves)
+        return float(loss[active].sum()), [(kind, _summed([(k[active], g[active]) for name, k, g in moves if name == kind])) for kind in kinds]
+
+    def sent(kind: str, keys: np.ndarray, grads: np.ndarray, rows: int = 0) -> pa.RecordBatch:
+        offsets = np.arange(len(keys) + 1, dtype=np.int32) * grads.shape[1]
+        return pa.RecordBatch.from_arrays([pa.array([kind] * len(keys)), pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(grads.ravel())),
+                                           pa.array([rows] * len(keys), pa.int64())], ["kind", "id", "grad", "rows"])
+
+    def leaving(held):
+        for kind, parts in held.items():
+            keys, grads = _summed(parts)
+            for a in range(0, len(keys), slice_rows):
+                yield sent(kind, keys[a:a + slice_rows], grads[a:a + slice_rows])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        loss, rows, held = 0.0, 0, {}
+        size = lambda: sum(g.size for parts in held.values() for _, g in parts)
+        for whole in batches:
+            for start in range(0, whole.num_rows, slice_rows):
+                batch = whole.slice(start, slice_rows)
+                lost, moved = one(batch)
+                loss, rows = loss + lost, rows + batch.num_rows
+                for kind, part in moved:
+                    held.setdefault(kind, []).append(part)
+                if size() > held_numbers:
+                    held = {kind: [_summed(parts)] for kind, parts in held.items()}
+                    if size() > held_numbers // 2:
+                        yield from leaving(held)
+                        held = {}
+        if rows:
+            yield sent("loss", np.zeros(1, np.int64), np.array([[loss]]), rows)
+        yield from leaving(held)
     return run
 
 
@@ -263,7 +295,7 @@ def train_epoch(params: DataFrame, triples: DataFrame, model: str, dim: int, epo
             for kind, out in (("r", "rv"), ("x", "xv")) if width.extra else (("r", "rv"),):
                 joined = joined.join(params.filter(F.col("kind") == kind).select(
                     F.col("id").alias("r"), F.col("vec").alias(out)), "r")
-        steps = joined.mapInPandas(
+        steps = joined.mapInArrow(
             _batch_gradients(model, margin, _Relations(table, width.extra > 0), slice_rows),
             "kind string, id long, grad array<double>, rows long")
         summed = steps.groupBy("kind", "id").agg(

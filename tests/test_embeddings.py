@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -216,3 +217,23 @@ def test_grid_goes_on_after_a_failure_and_reuses_results(spark, tmp_path, rows):
 def test_embedding_features(spark, rows):
     vectors = spark.createDataFrame([(vocab.NS + "municipality/08019", [1.0, 2.0]), (vocab.NS + "comarca/X", [3.0, 4.0])], "label string, vec array<double>")
     assert rows(E.embedding_features(vectors, 2)) == [("08019", 1.0, 2.0)]
+
+
+@pytest.mark.parametrize("held", [1, 10_000])
+def test_gradients_are_summed_over_the_batches_of_a_task(held):
+    """One row a parameter leaves a task with room for it; without room the sums are the same."""
+    rng = np.random.default_rng(3)
+    vec = lambda n: pa.array(rng.normal(size=(n, 4)).tolist(), pa.list_(pa.float64()))
+    ids = lambda: pa.array(rng.integers(0, 5, 30))
+    batch = pa.RecordBatch.from_arrays([ids(), pa.array([0] * 30), ids(), ids(), pa.array([k % 2 == 0 for k in range(30)]), vec(30), vec(30), vec(30), vec(30)],
+                                       ["h", "r", "t", "n", "corrupt_head", "hv", "tv", "nv", "rv"])
+    steps = lambda batches, room: [r for out in E._batch_gradients("TransE", 1.0, E._Relations(None, False), 8, room)(iter(batches)) for r in out.to_pylist()]
+    def total(rows):
+        sums = {}
+        for r in rows:
+            sums[r["kind"], r["id"]] = sums.get((r["kind"], r["id"]), 0) + np.array(r["grad"] + [r["rows"]])
+        return sums
+    rows = steps([batch, batch], held)
+    whole, once = total(rows), total(steps([batch], 10_000))
+    assert whole.keys() == once.keys() and all(np.allclose(whole[k], 2 * once[k]) for k in whole)
+    assert (len(rows) == len(whole)) == (held > 1)
