@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -12,6 +13,7 @@ from llm.test_copies import classes
 from pyspark.sql import functions as F
 
 from terraloom.llm import ann, lines, pages, queries
+from terraloom.session import materialise
 
 
 def brute(rows, asks, k):
@@ -259,3 +261,53 @@ def test_lines_of_edges(spark):
     got = lines.line_groups(documents(spark, EDGES)).collect()
     assert len(got) == sum(len((t or "").split("\n")) for _, t in EDGES)
     assert lines.line_groups(documents(spark, [])).collect() == []
+
+
+def test_simhashes_of_nodes_are_those_of_the_expression(spark):
+    texts = [" ".join(f"{w}{k}" for k, w in enumerate(prose(n, n).lower().split())) for n in (1, 2, 3, 63, 64, 255, 256, 3_000)] + ["a a b"]
+    nodes = spark.createDataFrame([(t,) for t in texts], "normal string").withColumn("h", F.xxhash64("normal")).repartition(3, "h")
+    wanted = nodes.withColumn("words", lines.word_hashes(F.col("normal"))).withColumn("others", F.transform("words", lambda w: F.xxhash64(w))) \
+        .select("h", lines.simhash(F.col("words")).alias("sim"), lines.simhash(F.col("others")).alias("more"))
+    got = lines.with_simhashes(nodes, True)
+    assert sorted(map(tuple, got.select("h", "sim", "more").collect())) == sorted(map(tuple, wanted.collect()))
+    assert sum("Exchange" in s for s in got._jdf.queryExecution().executedPlan().toString().splitlines()) <= 1
+
+
+def test_word_script_bounds_the_edit_distance(spark):
+    rng, rows = random.Random(4), [("", "a"), ("a b", ""), ("a", "b c"), ("a b c", "b c"), ("x", "x")]
+    for k in range(300):
+        words = prose(k, 12 + k % 30).split()
+        again = list(words)
+        for _ in range(k % 4):
+            n = rng.randrange(len(again))
+            again[n:n + rng.choice((0, 1))] = rng.choice(([], ["newword"], ["other", "ones"]))
+        rows.append((" ".join(words), " ".join(again)))
+    got = spark.createDataFrame(rows, "x string, y string").select(
+        lines.word_script(F.col("x"), F.col("y")).alias("bound"), F.levenshtein("x", "y").alias("d"), F.greatest(F.length("x"), F.length("y")).alias("n"),
+        lines.alike(F.col("x"), F.col("y")).alias("alike")).collect()
+    assert all(r.bound >= r.d and r.alike == (5 * r.d <= r.n) for r in got)
+    assert sum(5 * r.bound <= r.n for r in got) >= 0.75 * sum(r.alike for r in got)
+
+
+def test_only_cheap_tests_are_made_for_every_pair_of_a_key(spark):
+    """A join condition with all choices in it was a method too long to be compiled: eleven times the time."""
+    nodes = spark.range(50).select(F.xxhash64("id").alias("h"), F.xxhash64(F.col("id") % 7).alias("sim"), F.xxhash64(F.col("id") % 7).alias("more"), F.lit(40).alias("length"))
+    text = lines.wide_pairs(nodes)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [s for s in text.splitlines() if "Join Inner" in s]
+    assert joins and all(len(s) < 1000 for s in joins)
+    every = {tuple(r) for r in lines.wide_pairs(nodes).collect()}
+    assert {tuple(r) for r in lines._all_wide_pairs(nodes).collect()} == every and len(every) == lines._all_wide_pairs(nodes).count()
+
+
+def test_shuffle_files_go_with_the_query_that_made_them(spark, tmp_path):
+    def held():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return sum(f.getName().startswith("shuffle_") for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(blocks))
+    before = held()
+    kept = materialise(spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count(), "counts")
+    assert kept.count() == 10 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    for _ in range(50):
+        if held() <= before + 1:
+            break
+        time.sleep(0.1)
+    assert held() <= before + 1  # the count's own
