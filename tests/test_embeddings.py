@@ -237,3 +237,13 @@ def test_gradients_are_summed_over_the_batches_of_a_task(held):
     whole, once = total(rows), total(steps([batch], 10_000))
     assert whole.keys() == once.keys() and all(np.allclose(whole[k], 2 * once[k]) for k in whole)
     assert (len(rows) == len(whole)) == (held > 1)
+
+
+def test_a_starting_vector_is_drawn_once(spark):
+    """Its norm used to be computed for each of its numbers, and the vector with it: the square of its length in hashes."""
+    names = spark.createDataFrame([("a", 0), ("b", 1)], "label string, id long")
+    got = E.init_parameters(names, names, "TransE", 64).filter("kind = 'e'")
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("xxhash64(") == 1
+    drawn = names.select(E._random_vector(F.col("label"), 64, 42, 6 / 8).alias("v")).collect()
+    for (v,), r in zip(drawn, got.orderBy("id").collect()):
+        assert np.allclose(np.array(v) / np.linalg.norm(v), r.vec, rtol=1e-12)
