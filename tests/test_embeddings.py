@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -247,3 +249,23 @@ def test_a_starting_vector_is_drawn_once(spark):
     drawn = names.select(E._random_vector(F.col("label"), 64, 42, 6 / 8).alias("v")).collect()
     for (v,), r in zip(drawn, got.orderBy("id").collect()):
         assert np.allclose(np.array(v) / np.linalg.norm(v), r.vec, rtol=1e-12)
+
+
+@pytest.mark.parametrize("model", ["DistMult", "TransE"])
+def test_counting_makes_no_copy_of_a_block(model):
+    """Squares, quotients and two single-precision copies of a block took three times its memory in every task."""
+    rng = np.random.default_rng(5)
+    block, anchors = rng.normal(size=(60_000, 64)), rng.normal(size=(3, 64))
+    known = [np.array([7, 59_999]), np.array([], np.int64), np.array([8_191, 8_192, 3])]
+    query = np.array([2, 0, 1, 2])
+    pair = (lambda n, e: scoring.score(model, anchors[n], relation, e)) if model == "TransE" else (lambda n, e: np.sum(anchors[n] * relation * e, axis=-1))
+    relation = rng.normal(size=64)
+    own = np.array([float(pair(n, block[100 + n])) for n in query])
+    tracemalloc.start()
+    better, equal = count_better(model, "tail", anchors, relation, None, block, known, query, own)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.1 * block.nbytes
+    for k, n in enumerate(query):
+        scores = np.delete(pair(n, block), known[n])
+        assert abs(better[k] - (scores > own[k]).sum()) <= 1 and equal[k] <= 2
