@@ -264,3 +264,11 @@ def test_landed_pages_take_no_file_each(spark, monkeypatch, name):
     monkeypatch.setattr(documents, "page_streams", lambda landed, *args, _of=documents.page_streams, **more: held.append(landed) or _of(landed, *args, **more))
     assert entry.queries()[name](spark, "/root/testdata/sf0.001").count()
     assert len(held[0].inputFiles()) <= 8
+
+
+def test_relation_files_are_compressed(spark, tmp_path):
+    edges = spark.range(20_000).selectExpr("cast(id % 50 as string) id", "concat('Customer ', id % 50) name", "cast(id as string) neighbor_id", "concat('Customer ', id) neighbor_name")
+    relations.write_relations(relations.relation_lines(edges, part_size=100), str(tmp_path / "r"))
+    files = [f for f in (tmp_path / "r").iterdir() if f.name.startswith("part-")]
+    assert files and sum(f.stat().st_size for f in files) < 300_000  # a million bytes of text
+    assert sorted(map(tuple, relations.parse_neighbors(relations.read_relations(spark, str(tmp_path / "r"))).collect())) == sorted(map(tuple, edges.collect()))
